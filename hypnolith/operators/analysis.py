@@ -28,21 +28,21 @@ def stage_counts_per_night(epochs: DataFrame, block_epochs: int = EPOCH_BLOCK) -
     )
 
 
-def total_sleep_minutes(per_stage: DataFrame, labels: DataFrame) -> DataFrame:
+def total_sleep_minutes(per_stage: DataFrame, codes: DataFrame) -> DataFrame:
     """Minutes asleep per (patient, recording file)."""
     asleep = F.when(is_sleep(F.col("stage_label")), F.col("n_epochs")).otherwise(0)
     return (
-        per_stage.join(labels.select("rec_id", "patients_code", "psg_filename"), "rec_id")
+        per_stage.join(codes.select("rec_id", "patients_code", "psg_filename"), "rec_id")
         .groupBy("patients_code", "psg_filename")
         .agg(minutes(F.sum(asleep)).alias("total_sleep_min"))
         .orderBy("patients_code", "psg_filename")
     )
 
 
-def stage_minutes_session(per_stage: DataFrame, labels: DataFrame) -> DataFrame:
+def stage_minutes_session(per_stage: DataFrame, codes: DataFrame) -> DataFrame:
     """Minutes per (patient, recording file, stage), stages in physiological order."""
     return (
-        per_stage.join(labels.select("rec_id", "patients_code", "psg_filename"), "rec_id")
+        per_stage.join(codes.select("rec_id", "patients_code", "psg_filename"), "rec_id")
         .groupBy("patients_code", "psg_filename", "stage_label")
         .agg(minutes(F.sum("n_epochs")).alias("minutes"))
         .orderBy("patients_code", "psg_filename", stage_code(F.col("stage_label")))

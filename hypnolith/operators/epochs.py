@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, block_of, spread_over_blocks
+from hypnolith.functions.keys import (
+    BLOCK,
+    EPOCH_BLOCK,
+    block_of,
+    spread_over_blocks,
+    with_block,
+)
 from hypnolith.functions.stages import map_stage, stage_code, stage_of_code
 from hypnolith.operators.annotations import stage_annotations, with_first_onset
 from hypnolith.schemas import EPOCH_SEC, EPOCHS, STAGES
@@ -168,7 +174,7 @@ def replace_epochs(
     anti join runs on (rec_id, epoch_block) and a long recording is spread out.
     """
     columns = EPOCHS.fieldNames()
-    blocked = stored.withColumn(BLOCK, block_of("epoch_idx", block_epochs))
+    blocked = with_block(stored, block_epochs)
     replaced = incoming.groupBy("rec_id").agg(F.count(F.lit(1)).alias("_n")).select("rec_id")
     dropped = blocked.select("rec_id", BLOCK).distinct().join(replaced, "rec_id", "left_semi")
     kept = blocked.join(dropped, ["rec_id", BLOCK], "left_anti")

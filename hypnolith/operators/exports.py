@@ -37,10 +37,10 @@ def bi_nights(counts: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def bi_stage_minutes(per_stage: DataFrame, labels: DataFrame) -> DataFrame:
+def bi_stage_minutes(per_stage: DataFrame, codes: DataFrame) -> DataFrame:
     """Minutes per (night, stage), stages in physiological order."""
     return (
-        per_stage.join(labels.select("rec_id", "patients_code", "rec_code"), "rec_id")
+        per_stage.join(codes.select("rec_id", "patients_code", "rec_code"), "rec_id")
         .select(
             "rec_id",
             "patients_code",
@@ -70,11 +70,11 @@ def kpi_cards(nights: DataFrame) -> DataFrame:
     )
 
 
-def stage_architecture(per_stage: DataFrame, labels: DataFrame) -> DataFrame:
+def stage_architecture(per_stage: DataFrame, codes: DataFrame) -> DataFrame:
     """Minutes per night with one column per stage; 0 where a stage does not occur."""
     wide = per_stage.groupBy("rec_id").pivot("stage_label", list(STAGES)).agg(F.sum("n_epochs"))
     return (
-        wide.join(labels.select("rec_id", "patients_code", "rec_code"), "rec_id")
+        wide.join(codes.select("rec_id", "patients_code", "rec_code"), "rec_id")
         .select(
             "rec_id",
             "patients_code",

@@ -57,6 +57,13 @@ def notes_view(notes: DataFrame, recordings: DataFrame) -> DataFrame:
     )
 
 
+def recording_codes(recordings: DataFrame, patients: DataFrame) -> DataFrame:
+    """Patient and recording codes and the recording file, one row per recording."""
+    return recordings.join(patients.select("patients_id", "patients_code"), "patients_id").select(
+        "rec_id", "patients_code", "rec_code", "psg_filename"
+    )
+
+
 def night_labels(recordings: DataFrame, patients: DataFrame, notes: DataFrame) -> DataFrame:
     """One row per recording of a known patient: codes, demographics, flags, observations.
 
@@ -115,8 +122,14 @@ def sleep_boundaries(
 def within(
     epochs: DataFrame, bounds: DataFrame, block_epochs: int = EPOCH_BLOCK
 ) -> DataFrame:
-    """Epochs between the bounds of their recording, joined on (rec_id, epoch_block)."""
-    spread = spread_over_blocks(bounds, "first_sleep_epoch", "last_sleep_epoch", block_epochs)
+    """Epochs between the bounds of their recording, joined on (rec_id, epoch_block).
+
+    The bounds are one row per recording and block, so each task hashes its share
+    of them and streams its epochs past; stored epochs keep their place and order.
+    """
+    spread = spread_over_blocks(
+        bounds, "first_sleep_epoch", "last_sleep_epoch", block_epochs
+    ).hint("shuffle_hash")
     return with_block(epochs, block_epochs).join(spread, ["rec_id", BLOCK]).filter(
         F.col("epoch_idx").between(F.col("first_sleep_epoch"), F.col("last_sleep_epoch"))
     )

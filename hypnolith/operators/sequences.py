@@ -7,7 +7,7 @@ than epochs, so what is stitched across block edges and shuffled is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, with_block
@@ -16,8 +16,14 @@ from hypnolith.functions.stages import is_sleep
 from hypnolith.operators.nights import in_bed_epochs
 from hypnolith.schemas import N3, REM, WAKE
 
-_IN_BLOCK = Window.partitionBy("rec_id", BLOCK).orderBy("epoch_idx")
-_BLOCKS = Window.partitionBy("rec_id").orderBy(BLOCK)
+
+def _in_block(order: str = "epoch_idx") -> WindowSpec:
+    return Window.partitionBy("rec_id", BLOCK).orderBy(order)
+
+
+def _over_blocks() -> WindowSpec:
+    return Window.partitionBy("rec_id").orderBy(BLOCK)
+
 
 
 def previous_stages(epochs: DataFrame, block_epochs: int = EPOCH_BLOCK) -> DataFrame:
@@ -33,13 +39,13 @@ def previous_stages(epochs: DataFrame, block_epochs: int = EPOCH_BLOCK) -> DataF
         .select(
             "rec_id",
             BLOCK,
-            F.lag("tail.stage_label").over(_BLOCKS).alias("carried"),
+            F.lag("tail.stage_label").over(_over_blocks()).alias("carried"),
         )
         .filter("carried IS NOT NULL")
     )
     return (
-        rows.withColumn("prev_stage", F.lag("stage_label").over(_IN_BLOCK))
-        .withColumn("row", F.row_number().over(_IN_BLOCK))
+        rows.withColumn("prev_stage", F.lag("stage_label").over(_in_block()))
+        .withColumn("row", F.row_number().over(_in_block()))
         .join(carried, ["rec_id", BLOCK], "left")
         .select(
             "rec_id",
@@ -61,11 +67,11 @@ def stage_runs(rows: DataFrame) -> DataFrame:
     whole = Window.partitionBy("rec_id", BLOCK)
     return (
         rows.select("rec_id", BLOCK, "epoch_idx", "stage_label")
-        .withColumn("before", F.lag("stage_label").over(_IN_BLOCK))
-        .withColumn("row", F.row_number().over(_IN_BLOCK))
+        .withColumn("before", F.lag("stage_label").over(_in_block()))
+        .withColumn("row", F.row_number().over(_in_block()))
         .withColumn("rows", F.count(F.lit(1)).over(whole))
         .filter((F.col("row") == 1) | ~F.col("stage_label").eqNullSafe(F.col("before")))
-        .withColumn("next_row", F.lead("row").over(_IN_BLOCK))
+        .withColumn("next_row", F.lead("row").over(_in_block()))
         .select(
             "rec_id",
             BLOCK,
@@ -88,7 +94,7 @@ def _counted_runs(rows: DataFrame) -> DataFrame:
     whole = Window.partitionBy("rec_id", BLOCK)
     numbered = (
         rows.select("rec_id", BLOCK, "epoch_idx", "stage_label")
-        .withColumn("row", F.row_number().over(_IN_BLOCK))
+        .withColumn("row", F.row_number().over(_in_block()))
         .withColumn("rows", F.count(F.lit(1)).over(whole))
         .withColumn("run_id", F.col("row") - F.row_number().over(by_stage))
     )
@@ -137,7 +143,7 @@ def _stitched_bouts(runs: DataFrame) -> DataFrame:
     )
 
 
-def _longest(bouts: DataFrame, labels: DataFrame) -> DataFrame:
+def _longest(bouts: DataFrame, codes: DataFrame) -> DataFrame:
     label, length = F.col("stage_label"), F.col("bout_epochs")
 
     def longest(condition):
@@ -149,7 +155,7 @@ def _longest(bouts: DataFrame, labels: DataFrame) -> DataFrame:
         longest(is_sleep(label)).alias("longest_sleep_bout_min"),
     )
     return (
-        best.join(labels.select("rec_id", "patients_code"), "rec_id")
+        best.join(codes.select("rec_id", "patients_code"), "rec_id")
         .select(
             "rec_id",
             "patients_code",
@@ -162,23 +168,23 @@ def _longest(bouts: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def longest_bouts(
-    epochs: DataFrame, labels: DataFrame, block_epochs: int = EPOCH_BLOCK
+    epochs: DataFrame, codes: DataFrame, block_epochs: int = EPOCH_BLOCK
 ) -> DataFrame:
     """Longest uninterrupted N3, REM and single-stage sleep bout per night, in minutes."""
     runs = stage_runs(in_bed_epochs(epochs, block_epochs))
-    return _longest(_stitched_bouts(runs), labels)
+    return _longest(_stitched_bouts(runs), codes)
 
 
 def longest_bouts_counted(
-    epochs: DataFrame, labels: DataFrame, block_epochs: int = EPOCH_BLOCK
+    epochs: DataFrame, codes: DataFrame, block_epochs: int = EPOCH_BLOCK
 ) -> DataFrame:
     """:func:`longest_bouts` with run lengths from window counts."""
     runs = _counted_runs(in_bed_epochs(epochs, block_epochs))
-    return _longest(_stitched_bouts(runs), labels)
+    return _longest(_stitched_bouts(runs), codes)
 
 
 def night_activity(
-    epochs: DataFrame, labels: DataFrame, block_epochs: int = EPOCH_BLOCK
+    epochs: DataFrame, codes: DataFrame, block_epochs: int = EPOCH_BLOCK
 ) -> DataFrame:
     """Transitions, awakenings and window hours per night, from one pass over the runs.
 
@@ -187,9 +193,7 @@ def night_activity(
     """
     runs = stage_runs(in_bed_epochs(epochs, block_epochs))
     label = F.col("stage_label")
-    before = F.lag("stage_label").over(
-        Window.partitionBy("rec_id", BLOCK).orderBy("first_epoch")
-    )
+    before = F.lag("stage_label").over(_in_block("first_epoch"))
     per_block = (
         runs.withColumn("before", before)
         .groupBy("rec_id", BLOCK)
@@ -202,7 +206,7 @@ def night_activity(
             F.sum(F.when(is_sleep(label), F.col("run_epochs")).otherwise(0)).alias("sleep_epochs"),
             F.sum(F.when(label == WAKE, F.col("run_epochs")).otherwise(0)).alias("wake_epochs"),
         )
-        .withColumn("carried", F.lag("closing").over(_BLOCKS))
+        .withColumn("carried", F.lag("closing").over(_over_blocks()))
     )
     crossing = F.when(F.col("opening") != F.col("carried"), 1).otherwise(0)
     still_awake = F.when(
@@ -217,7 +221,7 @@ def night_activity(
             hours(F.sum("sleep_epochs")).alias("tst_h"),
             minutes(F.sum("wake_epochs")).alias("wake_in_window_min"),
         )
-        .join(labels.select("rec_id", "patients_code"), "rec_id")
+        .join(codes.select("rec_id", "patients_code"), "rec_id")
     )
 
 

@@ -6,11 +6,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hypnolith.operators import analysis, exports, nights, sequences
 from hypnolith.operators.epochs import build_epochs
-from hypnolith.session import use_utc, working_folder
+from hypnolith.session import apply_table_settings, working_folder
 from hypnolith.sources import derived
 from hypnolith.sources.storage import write_epochs, write_table
 
@@ -37,6 +36,10 @@ class Mart:
     def labels(self) -> DataFrame:
         return nights.night_labels(self.recordings, self.patients, self.notes)
 
+    @cached_property
+    def codes(self) -> DataFrame:
+        return nights.recording_codes(self.recordings, self.patients)
+
     @cached_property
     def boundaries(self) -> DataFrame:
         return nights.sleep_boundaries(
@@ -63,7 +66,7 @@ class Mart:
 
     @cached_property
     def activity(self) -> DataFrame:
-        return sequences.night_activity(self.epochs, self.labels)
+        return sequences.night_activity(self.epochs, self.codes)
 
     @cached_property
     def fragmentation(self) -> DataFrame:
@@ -75,14 +78,14 @@ class Mart:
 
     @cached_property
     def bi_stage_minutes(self) -> DataFrame:
-        return exports.bi_stage_minutes(self.per_stage, self.labels)
+        return exports.bi_stage_minutes(self.per_stage, self.codes)
 
 
 class RawTables:
     """The raw tables of a folder as inputs of the load operators."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        use_utc(spark)
+        apply_table_settings(spark)
         self.spark = spark
         self.events = derived.read_table(spark, folder, "events")
         self.customer = derived.read_table(spark, folder, "customer")
@@ -108,13 +111,16 @@ _stored: dict[tuple, tuple[str, Mart]] = {}
 
 
 def _state(spark: SparkSession, folder: str) -> str:
-    """Number, size and newest change of the raw files, to notice that they changed."""
-    paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in ("events", "customer")]
-    listed = spark.read.format("binaryFile").load(paths)
-    row = listed.agg(
-        F.count(F.lit(1)), F.sum("length"), F.max("modificationTime").cast("string")
-    ).first()
-    return str(tuple(row))
+    """Number, size and change time of the raw files, to notice that they changed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    states = []
+    for name in ("events", "customer"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(conf)
+        summary = files.getContentSummary(path)
+        changed = files.getFileStatus(path).getModificationTime()
+        states.append((summary.getFileCount(), summary.getLength(), changed))
+    return str(states)
 
 
 def load_mart(spark: SparkSession, folder: str) -> Mart:
@@ -123,7 +129,7 @@ def load_mart(spark: SparkSession, folder: str) -> Mart:
     The tables go to the shared working folder, so a lost executor costs a task,
     not the load. They are written again when the raw files have changed.
     """
-    use_utc(spark)
+    apply_table_settings(spark)
     key = (spark.sparkContext.applicationId, folder)
     state = _state(spark, folder)
     if key in _stored and _stored[key][0] == state:

@@ -302,12 +302,12 @@ def _(mart):
 
 @_on_mart("total_sleep_minutes")
 def _(mart):
-    return analysis.total_sleep_minutes(mart.per_stage, mart.labels)
+    return analysis.total_sleep_minutes(mart.per_stage, mart.codes)
 
 
 @_on_mart("stage_minutes_session")
 def _(mart):
-    return analysis.stage_minutes_session(mart.per_stage, mart.labels)
+    return analysis.stage_minutes_session(mart.per_stage, mart.codes)
 
 
 @_on_mart("summary_report")
@@ -352,12 +352,12 @@ def _(mart):
 
 @_on_mart("longest_bouts")
 def _(mart):
-    return sequences.longest_bouts(mart.epochs, mart.labels)
+    return sequences.longest_bouts(mart.epochs, mart.codes)
 
 
 @_on_mart("longest_bouts_window")
 def _(mart):
-    return sequences.longest_bouts_counted(mart.epochs, mart.labels)
+    return sequences.longest_bouts_counted(mart.epochs, mart.codes)
 
 
 @_on_mart("stage_counts")
@@ -403,7 +403,7 @@ def _(mart):
 
 @_on_mart("stage_architecture")
 def _(mart):
-    return exports.stage_architecture(mart.per_stage, mart.labels)
+    return exports.stage_architecture(mart.per_stage, mart.codes)
 
 
 @_on_mart("tst_vs_efficiency")

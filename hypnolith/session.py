@@ -8,12 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Settings that stored tables rely on, applied to sessions built elsewhere too.
+# Recording times are kept and reported in UTC. A bucket of epochs is one sorted
+# file, and with the second setting Spark uses that order instead of sorting again
+# (it checks that every bucket is a single file).
+TABLE_SETTINGS = {
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
 
 def build_session(
     master: str | None = None,
@@ -31,14 +38,15 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in {**SETTINGS, **TABLE_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Pin the session time zone: recording times are stored and reported in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def apply_table_settings(spark: SparkSession) -> None:
+    """Set what the stored tables rely on in a running session."""
+    for key, value in TABLE_SETTINGS.items():
+        spark.conf.set(key, value)
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
