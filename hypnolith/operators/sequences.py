@@ -64,22 +64,44 @@ def stage_runs(rows: DataFrame) -> DataFrame:
     ``rows`` carry their block. Output per run: stage_label, first_epoch,
     run_epochs, and whether it opens or closes its block.
     """
-    whole = Window.partitionBy("rec_id", BLOCK)
+    order = _in_block()
+    label = F.col("stage_label")
+    starts = (F.col("row") == 1) | ~label.eqNullSafe(F.col("before"))
+    ends = F.col("next_idx").isNull() | ~label.eqNullSafe(F.col("after"))
+    # One pass over the epochs leaves the first and last row of every run.
+    edges = (
+        rows.select(
+            "rec_id",
+            BLOCK,
+            "epoch_idx",
+            "stage_label",
+            F.lag("stage_label").over(order).alias("before"),
+            F.lead("stage_label").over(order).alias("after"),
+            F.lead("epoch_idx").over(order).alias("next_idx"),
+            F.row_number().over(order).alias("row"),
+        )
+        .withColumn("starts", starts)
+        .withColumn("ends", ends)
+        .withColumn("is_last", F.col("next_idx").isNull())
+        .filter("starts OR ends")
+    )
     return (
-        rows.select("rec_id", BLOCK, "epoch_idx", "stage_label")
-        .withColumn("before", F.lag("stage_label").over(_in_block()))
-        .withColumn("row", F.row_number().over(_in_block()))
-        .withColumn("rows", F.count(F.lit(1)).over(whole))
-        .filter((F.col("row") == 1) | ~F.col("stage_label").eqNullSafe(F.col("before")))
-        .withColumn("next_row", F.lead("row").over(_in_block()))
+        edges.withColumn(
+            "end_row", F.when(F.col("ends"), F.col("row")).otherwise(F.lead("row").over(order))
+        )
+        .withColumn(
+            "closes",
+            F.when(F.col("ends"), F.col("is_last")).otherwise(F.lead("is_last").over(order)),
+        )
+        .filter("starts")
         .select(
             "rec_id",
             BLOCK,
             "stage_label",
             F.col("epoch_idx").alias("first_epoch"),
-            (F.coalesce(F.col("next_row"), F.col("rows") + 1) - F.col("row")).alias("run_epochs"),
+            (F.col("end_row") - F.col("row") + 1).cast("long").alias("run_epochs"),
             (F.col("row") == 1).alias("opens"),
-            F.col("next_row").isNull().alias("closes"),
+            "closes",
         )
     )
 
