@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, with_block
+from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, block_of, with_block
 from hypnolith.operators.epochs import replace_epochs
 from hypnolith.schemas import EPOCHS
 
@@ -55,45 +55,49 @@ def write_table(rows: DataFrame, path: str) -> DataFrame:
 
 
 def _bucketed(epochs: DataFrame, rec_buckets: int) -> DataFrame:
-    return epochs.withColumn(REC_BUCKET, F.pmod(F.xxhash64("rec_id"), F.lit(rec_buckets)))
+    return epochs.select(
+        *EPOCHS.fieldNames(), F.pmod(F.xxhash64("rec_id"), F.lit(rec_buckets)).alias(REC_BUCKET)
+    )
 
 
-def write_replaceable_epochs(epochs: DataFrame, path: str, rec_buckets: int = 64) -> None:
-    """Store epochs in folders by recording bucket, the unit that a reload rewrites."""
-    columns = [*EPOCHS.fieldNames(), REC_BUCKET]
+def _write_by_bucket(epochs: DataFrame, path: str, rec_buckets: int, block_epochs: int) -> None:
+    """Write bucket folders. A long recording's blocks go to different tasks and files."""
+    rows = _bucketed(epochs, rec_buckets)
     (
-        _bucketed(epochs, rec_buckets)
-        .select(*columns)
-        .repartition(REC_BUCKET, "rec_id")
+        rows.repartition(REC_BUCKET, "rec_id", block_of("epoch_idx", block_epochs))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(REC_BUCKET)
         .parquet(path)
     )
 
 
+def write_replaceable_epochs(
+    epochs: DataFrame, path: str, rec_buckets: int = 64, block_epochs: int = EPOCH_BLOCK
+) -> None:
+    """Store epochs in folders by recording bucket, the unit that a reload rewrites."""
+    _write_by_bucket(epochs, path, rec_buckets, block_epochs)
+
+
 def reload_epochs(
-    spark: SparkSession, path: str, incoming: DataFrame, rec_buckets: int = 64
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    rec_buckets: int = 64,
+    block_epochs: int = EPOCH_BLOCK,
 ) -> None:
     """Replace the epochs of the recordings in ``incoming``; run twice, it changes nothing.
 
-    Only the buckets those recordings fall into are read and overwritten. Spark
-    stages the new files and swaps folders once all tasks are done.
+    Only the buckets those recordings fall into (at most ``rec_buckets`` numbers)
+    are read and overwritten. Spark stages the new files and swaps folders once
+    all tasks are done.
     """
-    new = _bucketed(incoming, rec_buckets)
-    touched = new.select(REC_BUCKET).distinct()
-    stored = read_replaceable_epochs(spark, path).join(
-        F.broadcast(touched), REC_BUCKET, "left_semi"
-    )
-    merged = replace_epochs(stored.select(*EPOCHS.fieldNames()), incoming)
-    (
-        _bucketed(merged, rec_buckets)
-        .select(*EPOCHS.fieldNames(), REC_BUCKET)
-        .repartition(REC_BUCKET, "rec_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(REC_BUCKET)
-        .parquet(path)
+    touched = _bucketed(incoming, rec_buckets).select(REC_BUCKET).distinct().collect()
+    stored = read_replaceable_epochs(spark, path).filter(
+        F.col(REC_BUCKET).isin([row[0] for row in touched])
     )
+    merged = replace_epochs(stored, incoming, block_epochs)
+    _write_by_bucket(merged, path, rec_buckets, block_epochs)
 
 
 def read_replaceable_epochs(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from hypnolith.session import build_session
@@ -21,3 +23,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def raw_folder():
+    folder = "/root/testdata/sf0.001"
+    if not os.path.exists(f"{folder}/events.parquet"):
+        pytest.skip("no raw tables to load")
+    return folder
