@@ -102,7 +102,7 @@ def test_reload_replaces_whole_recordings(spark, tmp_path):
         found = {
             r.rec_id: (r.n, r.label)
             for r in rows.groupBy("rec_id")
-            .agg({"epoch_idx": "count", "stage_label": "max"})
+            .agg(F.count("epoch_idx"), F.max("stage_label"))
             .toDF("rec_id", "n", "label")
             .collect()
         }
@@ -112,9 +112,9 @@ def test_reload_replaces_whole_recordings(spark, tmp_path):
 def test_reload_reads_only_the_buckets_it_rewrites(spark, tmp_path):
     path = str(tmp_path / "epochs")
     storage.write_replaceable_epochs(_epochs(spark, {rec: ["W"] for rec in range(40)}), path, 8)
-    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "epochs").glob("rec_bucket=*/*.parquet")}
+    before = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "epochs").glob("rec_bucket=*/*.parquet")}
     storage.reload_epochs(spark, path, _epochs(spark, {3: ["N1"]}), 8)
-    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "epochs").glob("rec_bucket=*/*.parquet")}
+    after = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "epochs").glob("rec_bucket=*/*.parquet")}
     assert len(set(before) - set(after)) == 1
     assert storage.read_replaceable_epochs(spark, path).count() == 40
 
