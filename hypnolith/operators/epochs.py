@@ -99,18 +99,21 @@ def _intervals(annotations: DataFrame, block_epochs: int) -> DataFrame:
     )
 
 
-def _hashed_on_blocks(pieces: DataFrame) -> DataFrame:
-    """Pieces hashed on (rec_id, block) into the session's full number of partitions.
+def _hashed_on_blocks(pieces: DataFrame, partitions: int | None) -> DataFrame:
+    """Pieces hashed on (rec_id, block) into a stated number of partitions.
 
-    A stated count keeps adaptive execution from merging partitions by the size of
-    the pieces: each of them is about to grow into the epochs it stands for.
+    The stated count keeps adaptive execution from merging partitions by the size
+    of the pieces: each of them is about to grow into the epochs it stands for.
     """
-    count = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pieces.repartition(count, "rec_id", BLOCK)
 
 
 def build_epochs(
-    annotations: DataFrame, block_epochs: int = EPOCH_BLOCK, keep_block: bool = False
+    annotations: DataFrame,
+    block_epochs: int = EPOCH_BLOCK,
+    keep_block: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Dense epochs 0..n-1 per recording; the last annotation touching an epoch labels it.
 
@@ -118,7 +121,8 @@ def build_epochs(
     and, as UNKNOWN of lowest rank, the ones from there to the next start, so
     every epoch appears. Intervals are cut at block edges and hashed on (rec_id,
     block) first; turning them into epochs and keeping the highest rank of each
-    epoch then happens inside the task.
+    epoch then happens inside the task. ``partitions`` (the session's shuffle
+    partitions unless given) should be sized for the epochs, not the annotations.
     """
     filled_to = F.greatest("end_epoch", "next_epoch")
     pieces = spread_over_blocks(
@@ -141,7 +145,7 @@ def build_epochs(
         F.col("epoch_idx") < F.col("end_epoch"), F.col("rank") * 8 + F.col("code")
     ).otherwise(F.lit(_UNKNOWN_CODE))
     epochs = (
-        _hashed_on_blocks(pieces)
+        _hashed_on_blocks(pieces, partitions)
         .withColumn("rank", F.row_number().over(order).cast("long"))
         .withColumn("epoch_idx", F.explode(F.sequence("first_epoch", "last_epoch")))
         .groupBy("rec_id", BLOCK, "epoch_idx")

@@ -87,6 +87,7 @@ class RawTables:
     def __init__(self, spark: SparkSession, folder: str):
         apply_table_settings(spark)
         self.spark = spark
+        self.folder = folder
         self.events = derived.read_table(spark, folder, "events")
         self.customer = derived.read_table(spark, folder, "customer")
 
@@ -102,16 +103,27 @@ class RawTables:
     def patients(self) -> DataFrame:
         return derived.patients(self.customer)
 
+    @property
+    def epoch_partitions(self) -> int:
+        return epoch_partitions(self.spark, _state(self.spark, self.folder)[0][1])
+
     @property
     def files(self) -> DataFrame:
         return derived.file_manifest(self.events)
 
 
-_stored: dict[tuple, tuple[str, Mart]] = {}
+# Raw bytes whose epochs one task builds and one bucket holds: some ten million
+# epochs. The limit is Spark's own on buckets.
+RAW_BYTES_PER_BUCKET = 4 << 20
+MAX_BUCKETS = 100_000
+
+FileState = tuple[int, int, int]
 
+_stored: dict[tuple[str, str], tuple[list[FileState], Mart]] = {}
 
-def _state(spark: SparkSession, folder: str) -> str:
-    """Number, size and change time of the raw files, to notice that they changed."""
+
+def _state(spark: SparkSession, folder: str) -> list[FileState]:
+    """File count, bytes and change time of the raw events and customers."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     states = []
     for name in ("events", "customer"):
@@ -120,7 +132,13 @@ def _state(spark: SparkSession, folder: str) -> str:
         summary = files.getContentSummary(path)
         changed = files.getFileStatus(path).getModificationTime()
         states.append((summary.getFileCount(), summary.getLength(), changed))
-    return str(states)
+    return states
+
+
+def epoch_partitions(spark: SparkSession, raw_bytes: int) -> int:
+    """Partitions to build epochs in: sized by the raw data, never below the session's count."""
+    session_count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BUCKETS, max(session_count, -(-raw_bytes // RAW_BYTES_PER_BUCKET)))
 
 
 def load_mart(spark: SparkSession, folder: str) -> Mart:
@@ -136,13 +154,17 @@ def load_mart(spark: SparkSession, folder: str) -> Mart:
         return _stored[key][1]
     raw = RawTables(spark, folder)
     root = working_folder(spark, "mart")
+    partitions = epoch_partitions(spark, state[0][1])
     recordings = write_table(raw.recordings, f"{root}/recordings")
     mart = Mart(
         patients=write_table(raw.patients, f"{root}/patients"),
         recordings=recordings,
         notes=write_table(derived.notes(recordings), f"{root}/notes"),
         epochs=write_epochs(
-            build_epochs(raw.annotations, keep_block=True), f"{root}/epochs", hashed=True
+            build_epochs(raw.annotations, keep_block=True, partitions=partitions),
+            f"{root}/epochs",
+            buckets=partitions,
+            hashed=True,
         ),
     )
     _stored[key] = (state, mart)

@@ -150,7 +150,7 @@ def _(raw):
 
 @_on_raw("build_epochs")
 def _(raw):
-    return epochs.build_epochs(raw.annotations)
+    return epochs.build_epochs(raw.annotations, partitions=raw.epoch_partitions)
 
 
 @_on_mart("replace_epochs")

@@ -26,8 +26,9 @@ def write_epochs(
 
     Joins, windows and de-duplication on that pair then read their bucket without
     shuffling epochs; the sort keeps row-group statistics on ``rec_id`` tight and
-    stages run-length friendly. ``buckets`` follows the shuffle partitions, so a
-    cluster sets it with them. Each bucket is written by one task as one file;
+    stages run-length friendly. ``buckets`` should be sized for the epochs and not
+    be below the shuffle partitions (the default), or joins would shuffle epochs
+    into those instead. Each bucket is written by one task as one file;
     ``hashed`` says that the rows already sit in tasks by (rec_id, epoch_block), as
     freshly built epochs do.
     """
