@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EPOCH_BLOCK = 1 << 20
+EPOCH_BLOCK = 1 << 18
 BLOCK = "epoch_block"
 SALTS = 16
 
@@ -24,15 +24,23 @@ def block_of(index: str, block_epochs: int) -> Column:
     return F.expr(f"{index} div {int(block_epochs)}")
 
 
+def as_block(column: Column, block_epochs: int) -> Column:
+    """The column named as the epochs' block, with the block length in its metadata."""
+    return column.alias(BLOCK, metadata={"block_epochs": int(block_epochs)})
+
+
 def with_block(epochs: DataFrame, block_epochs: int = EPOCH_BLOCK) -> DataFrame:
-    """Epochs with their block; a stored or already derived block column is kept.
+    """Epochs with their block; a stored block column of that length is kept.
 
     Keeping the column object matters: Spark then knows that the rows are
-    already hashed on it and adds no further exchange.
+    already hashed on it and adds no further exchange. A block column of another
+    length is replaced.
     """
-    if BLOCK in epochs.columns:
-        return epochs
-    return epochs.withColumn(BLOCK, block_of("epoch_idx", block_epochs))
+    others = [c for c in epochs.columns if c != BLOCK]
+    if len(others) < len(epochs.columns):
+        if epochs.schema[BLOCK].metadata.get("block_epochs") == block_epochs:
+            return epochs
+    return epochs.select(*others, as_block(block_of("epoch_idx", block_epochs), block_epochs))
 
 
 def spread_over_blocks(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hypnolith.functions.keys import (
     BLOCK,
     EPOCH_BLOCK,
+    as_block,
     block_of,
     spread_over_blocks,
     with_block,
@@ -156,7 +157,7 @@ def build_epochs(
             (F.col("epoch_idx") * EPOCH_SEC).alias("start_sec"),
             F.lit(EPOCH_SEC).alias("duration_sec"),
             stage_of_code(F.col("ranked") % 8).alias("stage_label"),
-            BLOCK,
+            as_block(F.col(BLOCK), block_epochs),
         )
     )
     return epochs if keep_block else epochs.drop(BLOCK)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, block_of, with_block
 from hypnolith.operators.epochs import replace_epochs
-from hypnolith.schemas import EPOCHS
+from hypnolith.schemas import EPOCHS, TABLES
 
 REC_BUCKET = "rec_bucket"
 
@@ -55,6 +55,14 @@ def write_table(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def create_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Empty tables with the declared schemas, in place of what the folder held."""
+    return {
+        name: write_table(spark.createDataFrame([], schema), f"{root}/{name}")
+        for name, schema in TABLES.items()
+    }
+
+
 def _bucketed(epochs: DataFrame, rec_buckets: int) -> DataFrame:
     return epochs.select(
         *EPOCHS.fieldNames(), F.pmod(F.xxhash64("rec_id"), F.lit(rec_buckets)).alias(REC_BUCKET)

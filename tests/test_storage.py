@@ -88,6 +88,17 @@ def test_label_filter_and_columns_reach_the_scan(spark, stored):
     assert "ReadSchema: struct<rec_id:bigint,epoch_idx:bigint,stage_label:string>" in plan
 
 
+def test_stored_blocks_of_another_length_are_not_trusted(spark, tmp_path):
+    labels = {rec: ["W"] * 3 + ["N1", "W", "REM"] * 4 + ["W"] for rec in range(3)}
+    plain = _epochs(spark, labels)
+    short = storage.write_epochs(plain, str(tmp_path / "short"), buckets=2, block_epochs=4)
+    assert short.schema[BLOCK].metadata == {"block_epochs": 4}
+    for block in (4, 5, 1 << 18):
+        expected = sorted(night_counts(plain, block).collect())
+        assert sorted(night_counts(short, block).collect()) == expected
+        assert {r.window_epochs for r in expected} == {12}
+
+
 def test_window_rows_keep_the_table_schema(stored):
     assert in_bed_window_minimal(stored).columns == EPOCHS.fieldNames()
 
