@@ -9,8 +9,10 @@ from hypnolith.functions.keys import lookup_by_salted_key
 from hypnolith.functions.stages import is_staging
 from hypnolith.schemas import EPOCH_SEC
 
-# Seconds of recording per group when onsets of one recording are put in order.
-SLICE_SEC = 3600.0
+# Seconds of recording per group when onsets of one recording are put in order: one
+# epoch, so that onsets dense in time are spread out, then a thousand epochs, so that
+# the groups of a long recording are.
+SLICES_SEC = (30.0, 30000.0)
 
 
 def stage_annotations(annotations: DataFrame) -> DataFrame:
@@ -21,38 +23,45 @@ def stage_annotations(annotations: DataFrame) -> DataFrame:
     return annotations.filter(is_staging(F.col("description")))
 
 
-def next_onsets(kept: DataFrame, slice_sec: float = SLICE_SEC) -> DataFrame:
-    """Per distinct (rec_id, onset): its last annotation and the next later onset.
+def _with_next(onsets: DataFrame, slices_sec: tuple[float, ...]) -> DataFrame:
+    """Distinct (rec_id, onset) with the next later onset of the recording.
 
-    Copies of an onset collapse map-side first. The distinct onsets are then
-    ordered within time slices; the first onset of the following slice comes
-    from a summary of one row per slice.
+    A window orders the onsets of a time slice. The first onset of the following
+    slice comes from one row per slice, put in order the same way in longer slices.
     """
-    distinct = (
-        kept.groupBy("rec_id", "onset")
-        .agg(F.max("ann_seq").alias("last_seq"))
-        .withColumn("slice", F.floor(F.col("onset") / slice_sec))
-    )
+    if not slices_sec:
+        order = Window.partitionBy("rec_id").orderBy("onset")
+        return onsets.withColumn("next_onset", F.lead("onset").over(order))
+    sliced = onsets.withColumn("slice", F.floor(F.col("onset") / slices_sec[0]))
     in_slice = Window.partitionBy("rec_id", "slice").orderBy("onset")
-    by_slice = Window.partitionBy("rec_id").orderBy("slice")
-    following = (
-        distinct.groupBy("rec_id", "slice")
-        .agg(F.min("onset").alias("head"))
-        .select("rec_id", "slice", F.lead("head").over(by_slice).alias("next_head"))
+    heads = sliced.groupBy("rec_id", "slice").agg(F.min("onset").alias("onset"))
+    following = _with_next(heads.select("rec_id", "onset"), slices_sec[1:]).select(
+        "rec_id",
+        F.floor(F.col("onset") / slices_sec[0]).alias("slice"),
+        F.col("next_onset").alias("next_head"),
     )
     return (
-        distinct.withColumn("next_onset", F.lead("onset").over(in_slice))
+        sliced.withColumn("inside", F.lead("onset").over(in_slice))
         .join(following, ["rec_id", "slice"])
-        .select(
-            "rec_id",
-            "onset",
-            "last_seq",
-            F.coalesce("next_onset", "next_head").alias("next_onset"),
-        )
+        .withColumn("next_onset", F.coalesce("inside", "next_head"))
+        .drop("slice", "inside", "next_head")
     )
 
 
-def infer_durations(kept: DataFrame, slice_sec: float = SLICE_SEC) -> DataFrame:
+def next_onsets(
+    kept: DataFrame, slices_sec: tuple[float, ...] = SLICES_SEC
+) -> DataFrame:
+    """Per distinct (rec_id, onset): its last annotation and the next later onset.
+
+    Copies of an onset collapse map-side first.
+    """
+    distinct = kept.groupBy("rec_id", "onset").agg(F.max("ann_seq").alias("last_seq"))
+    return _with_next(distinct, slices_sec)
+
+
+def infer_durations(
+    kept: DataFrame, slices_sec: tuple[float, ...] = SLICES_SEC
+) -> DataFrame:
     """Fill durations <= 0 with the time to the next annotation, the last one with one epoch.
 
     Of several annotations at one onset only the last lasts until the next
@@ -62,7 +71,7 @@ def infer_durations(kept: DataFrame, slice_sec: float = SLICE_SEC) -> DataFrame:
         F.coalesce(F.col("next_onset") - F.col("onset"), F.lit(float(EPOCH_SEC)))
     )
     duration = F.when(F.col("duration") > 0, F.col("duration")).otherwise(gap)
-    return kept.join(next_onsets(kept, slice_sec), ["rec_id", "onset"]).select(
+    return kept.join(next_onsets(kept, slices_sec), ["rec_id", "onset"]).select(
         *[duration.alias(c) if c == "duration" else c for c in kept.columns]
     )
 

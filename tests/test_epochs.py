@@ -103,11 +103,11 @@ def test_random_recordings(spark, block):
         assert found.get(rec, []) == brute_epochs(rows), rows
 
 
-@pytest.mark.parametrize("slice_sec", [30.0, 1000.0, 1e9])
-def test_durations_and_spans(spark, slice_sec):
+@pytest.mark.parametrize("slices_sec", [(), (30.0,), (30.0, 300.0), (20.0, 100.0, 1000.0), (1e9,)])
+def test_durations_and_spans(spark, slices_sec):
     recordings = _random_recordings(3, 60)
     kept = stage_annotations(_annotations(spark, recordings))
-    shifted = rebase_onsets(infer_durations(kept, slice_sec))
+    shifted = rebase_onsets(infer_durations(kept, slices_sec))
     found: dict[int, list] = {}
     for row in shifted.collect():
         found.setdefault(row.rec_id, []).append(
