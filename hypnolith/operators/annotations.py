@@ -76,20 +76,36 @@ def infer_durations(
     )
 
 
-def with_first_onset(kept: DataFrame) -> DataFrame:
+def first_onsets(kept: DataFrame) -> DataFrame:
+    """First staging onset per recording."""
+    return kept.groupBy("rec_id").agg(F.min("onset").alias("first_onset"))
+
+
+def with_first_onset(kept: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Attach the recording's first staging onset to each of its annotations."""
-    first = kept.groupBy("rec_id").agg(F.min("onset").alias("first_onset"))
-    return lookup_by_salted_key(kept, first, "rec_id", "ann_seq")
+    return lookup_by_salted_key(
+        kept, first_onsets(kept) if firsts is None else firsts, "rec_id", "ann_seq"
+    )
+
 
+def rebase_onsets(kept: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """Shift onsets so that the first staging annotation of a recording is at 0.
 
-def rebase_onsets(kept: DataFrame) -> DataFrame:
-    """Shift onsets so that the first staging annotation of a recording is at 0."""
+    Filling durations moves no onset: give ``firsts`` from the rows before it, so that
+    the fill is not computed a second time for them.
+    """
     shifted = F.col("onset") - F.col("first_onset")
-    return with_first_onset(kept).select(
+    return with_first_onset(kept, firsts).select(
         *[shifted.alias(c) if c == "onset" else c for c in kept.columns]
     )
 
 
+def timed_annotations(annotations: DataFrame) -> DataFrame:
+    """Staging annotations with durations filled and onsets from 0."""
+    kept = stage_annotations(annotations)
+    return rebase_onsets(infer_durations(kept), first_onsets(kept))
+
+
 def recording_span(rebased: DataFrame) -> DataFrame:
     """Whole seconds and epochs covered per recording; recordings without any are left out."""
     span = F.ceil(F.max(F.col("onset") + F.col("duration")))

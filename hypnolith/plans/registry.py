@@ -93,8 +93,7 @@ def _(raw):
 
 @_on_raw("ingest_skips")
 def _(raw):
-    kept = annotations.stage_annotations(derived.unstaged(raw.annotations))
-    timed = annotations.rebase_onsets(annotations.infer_durations(kept))
+    timed = annotations.timed_annotations(derived.unstaged(raw.annotations))
     return loads.ingest_skips(
         raw.recordings,
         derived.found_hypnograms(raw.recordings),
@@ -127,16 +126,12 @@ def _(raw):
 
 @_on_raw("rebase_onsets")
 def _(raw):
-    kept = annotations.stage_annotations(raw.annotations)
-    return annotations.rebase_onsets(annotations.infer_durations(kept))
+    return annotations.timed_annotations(raw.annotations)
 
 
 @_on_raw("recording_span")
 def _(raw):
-    kept = annotations.stage_annotations(raw.annotations)
-    return annotations.recording_span(
-        annotations.rebase_onsets(annotations.infer_durations(kept))
-    )
+    return annotations.recording_span(annotations.timed_annotations(raw.annotations))
 
 
 @_on_raw("map_stage")
