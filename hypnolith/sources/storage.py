@@ -70,10 +70,17 @@ def _bucketed(epochs: DataFrame, rec_buckets: int) -> DataFrame:
 
 
 def _write_by_bucket(epochs: DataFrame, path: str, rec_buckets: int, block_epochs: int) -> None:
-    """Write bucket folders. A long recording's blocks go to different tasks and files."""
-    rows = _bucketed(epochs, rec_buckets)
+    """Write bucket folders, each as a fixed number of files.
+
+    The blocks of a bucket are dealt over its files, so a long recording is written
+    by several tasks, and no task writes small pieces of every bucket.
+    """
+    session_count = int(epochs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = max(1, session_count // rec_buckets)
+    share = F.pmod(F.xxhash64("rec_id", block_of("epoch_idx", block_epochs)), F.lit(files))
     (
-        rows.repartition(REC_BUCKET, "rec_id", block_of("epoch_idx", block_epochs))
+        _bucketed(epochs, rec_buckets)
+        .repartition(session_count, REC_BUCKET, share)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(REC_BUCKET)

@@ -120,6 +120,15 @@ def test_reload_replaces_whole_recordings(spark, tmp_path):
         assert found == {1: (5, "W"), 2: (2, "REM"), 3: (1, "N2"), 9: (1, "N3")}
 
 
+def test_a_long_recording_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "epochs")
+    rows = _epochs(spark, {1: ["W"] * 64})
+    storage.write_replaceable_epochs(rows, path, rec_buckets=1, block_epochs=2)
+    files = list((tmp_path / "epochs").glob("rec_bucket=0/*.parquet"))
+    assert 1 < len(files) <= 4
+    assert storage.read_replaceable_epochs(spark, path).count() == 64
+
+
 def test_reload_reads_only_the_buckets_it_rewrites(spark, tmp_path):
     path = str(tmp_path / "epochs")
     storage.write_replaceable_epochs(_epochs(spark, {rec: ["W"] for rec in range(40)}), path, 8)
