@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import token_files
+from hypnolith.llm import mixing, quality_rules, token_files
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,22 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query("op2_quality_rules")
+def _(spark, folder):
+    return quality_rules.judged(read_table(spark, folder, "documents")).select(*quality_rules.RESULT)
+
+
+ORACLES["op2_quality_rules"] = quality_rules.ORACLE
+
+
+@_query("op6_mixing")
+def _(spark, folder):
+    return mixing.mix(read_table(spark, folder, "documents"))
+
+
+ORACLES["op6_mixing"] = mixing.ORACLE
+
+
 @_query("op9_token_files")
 def _(spark, folder):
     blocks = token_files.write_token_files(read_table(spark, folder, "documents"), vocabulary())
