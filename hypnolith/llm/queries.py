@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import mixing, quality_rules, token_files
+from hypnolith.llm import license_scan, mixing, quality_rules, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query("op1_url_filters")
+def _(spark, folder):
+    pages = read_table(spark, folder, "pages")
+    return url_filters.filter_urls(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
+ORACLES["op1_url_filters"] = url_filters.ORACLE
+
+
 @_query("op2_quality_rules")
 def _(spark, folder):
     return quality_rules.judged(read_table(spark, folder, "documents")).select(*quality_rules.RESULT)
@@ -38,6 +47,14 @@ def _(spark, folder):
 ORACLES["op2_quality_rules"] = quality_rules.ORACLE
 
 
+@_query("op5_license_scan")
+def _(spark, folder):
+    return license_scan.scan(read_table(spark, folder, "documents"))
+
+
+ORACLES["op5_license_scan"] = license_scan.ORACLE
+
+
 @_query("op6_mixing")
 def _(spark, folder):
     return mixing.mix(read_table(spark, folder, "documents"))
