@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import license_scan, mixing, quality_rules, token_files, url_filters
+from hypnolith.llm import license_scan, mixing, quality_rules, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def _(spark, folder):
 ORACLES["op2_quality_rules"] = quality_rules.ORACLE
 
 
+@_query("op3_substring_dedup")
+def _(spark, folder):
+    return substring_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("kept_text")
+
+
 @_query("op5_license_scan")
 def _(spark, folder):
     return license_scan.scan(read_table(spark, folder, "documents"))
