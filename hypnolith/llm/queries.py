@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import license_scan, mixing, quality_rules, substring_dedup, token_files, url_filters
+from hypnolith.llm import license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,8 @@ ORACLES["op6_mixing"] = mixing.ORACLE
 def _(spark, folder):
     blocks = token_files.write_token_files(read_table(spark, folder, "documents"), vocabulary())
     return token_files.read_token_files(blocks)
+
+
+@_query("op10_jaccard_trees")
+def _(spark, folder):
+    return signature_trees.jaccard_components(read_table(spark, folder, "documents"))

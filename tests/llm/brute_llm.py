@@ -26,3 +26,33 @@ def remove_repeats(docs: list[tuple[int, str | None]], window: int = 50) -> dict
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
         out[doc_id] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
+
+
+def lower(text: str | None) -> str:
+    return (text or "").encode().lower().decode()
+
+
+def shingles(text: str | None, size: int = 5) -> frozenset:
+    w = words(lower(text))
+    if len(w) < size:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1))
+
+
+def jaccard_components(docs: list[tuple[int, str | None]], percent: int = 80) -> dict:
+    sets = [(d, shingles(t)) for d, t in docs]
+    parent = {d: d for d, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (a, x) in enumerate(sets):
+        for b, y in sets[:k]:
+            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                common = len(x & y)
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    p, q = sorted((root(a), root(b)))
+                    parent[q] = p
+    return {d: (len(x), root(d)) for d, x in sets}
