@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
+from hypnolith.llm import class_lm, license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def _(spark, folder):
 ORACLES["op6_mixing"] = mixing.ORACLE
 
 
+@_query("op8_class_lm")
+def _(spark, folder):
+    return class_lm.score_documents(read_table(spark, folder, "documents"))
+
+
 @_query("op9_token_files")
 def _(spark, folder):
     blocks = token_files.write_token_files(read_table(spark, folder, "documents"), vocabulary())

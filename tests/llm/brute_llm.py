@@ -56,3 +56,19 @@ def jaccard_components(docs: list[tuple[int, str | None]], percent: int = 80) ->
                     p, q = sorted((root(a), root(b)))
                     parent[q] = p
     return {d: (len(x), root(d)) for d, x in sets}
+
+
+def base_scores(docs: list[tuple[int, str | None]]) -> dict:
+    import math
+    import zlib
+    from collections import Counter
+
+    held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in docs}
+    tokens = {d: [*words(lower(t)), None] for d, t in docs}
+    counts = Counter(x for d, _ in docs if not held[d] for x in tokens[d])
+    total, distinct = sum(counts.values()), len(counts)
+    out = {}
+    for d, _ in docs:
+        base = sum(math.log10((counts[x] + 0.1) / (total + 0.1 * (distinct + 1))) for x in tokens[d])
+        out[d] = (held[d], len(tokens[d]), sum(counts[x] > 0 for x in tokens[d]), total, base)
+    return out
