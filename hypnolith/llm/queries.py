@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import class_lm, license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
+from hypnolith.llm import class_lm, decontamination, license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def _(spark, folder):
     return substring_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("kept_text")
 
 
+@_query("op4_decontamination")
+def _(spark, folder):
+    return decontamination.find_leaks(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+
+
 @_query("op5_license_scan")
 def _(spark, folder):
     return license_scan.scan(read_table(spark, folder, "documents"))

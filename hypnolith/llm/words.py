@@ -17,6 +17,11 @@ STEP_BYTES = 1 << 21
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: Everything in ASCII but digits and lower-case letters separates.
+NOT_ALNUM = np.arange(256) < 128
+NOT_ALNUM[[*range(48, 58), *range(97, 123)]] = False
+#: Only a line feed separates.
+LINE_FEED = np.arange(256) == 10
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
 _BYTE_CODES = np.random.RandomState(20240229).randint(
@@ -54,11 +59,14 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
 class Words:
     """The words of some texts: byte spans and, per text, the range of its words."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        """data: UTF-8 bytes; bounds: where each text starts, and the end of the last."""
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = _SPACE):
+        """data: UTF-8 bytes; bounds: where each text starts, and the end of the last.
+
+        ``separators`` flags the bytes that are in no word.
+        """
         self.data = data
         self.texts = len(bounds) - 1
-        inside = ~_SPACE[data]
+        inside = ~separators[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[bounds] = True
         before = np.empty_like(inside)
@@ -132,7 +140,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def steps(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
+def steps(
+    column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE
+) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) of pieces of a column with some STEP_BYTES each.
 
     A longer text makes a piece of its own. ``lower`` turns A-Z into a-z.
@@ -143,7 +153,9 @@ def steps(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Wor
         end = int(np.searchsorted(bounds, bounds[row] + STEP_BYTES, "right")) - 1
         end = min(rows, max(row + 1, end))
         piece = data[bounds[row] : bounds[end]]
-        yield row, end, Words(_ASCII_LOWER[piece] if lower else piece, bounds[row : end + 1] - bounds[row])
+        if lower:
+            piece = _ASCII_LOWER[piece]
+        yield row, end, Words(piece, bounds[row : end + 1] - bounds[row], separators)
         row = end
 
 
