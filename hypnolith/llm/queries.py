@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import class_lm, decontamination, license_scan, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
+from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def _(spark, folder):
 ORACLES["op6_mixing"] = mixing.ORACLE
 
 
+@_query("op7_line_dedup")
+def _(spark, folder):
+    return line_dedup.repeated_lines(read_table(spark, folder, "documents"))
+
+
 @_query("op8_class_lm")
 def _(spark, folder):
     return class_lm.score_documents(read_table(spark, folder, "documents"))

@@ -20,8 +20,6 @@ _SPACE[[32, *range(9, 14)]] = True
 #: Everything in ASCII but digits and lower-case letters separates.
 NOT_ALNUM = np.arange(256) < 128
 NOT_ALNUM[[*range(48, 58), *range(97, 123)]] = False
-#: Only a line feed separates.
-LINE_FEED = np.arange(256) == 10
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
 _BYTE_CODES = np.random.RandomState(20240229).randint(
@@ -65,6 +63,7 @@ class Words:
         ``separators`` flags the bytes that are in no word.
         """
         self.data = data
+        self.bounds = bounds
         self.texts = len(bounds) - 1
         inside = ~separators[data]
         edge = np.zeros(len(data) + 1, bool)

@@ -72,3 +72,53 @@ def base_scores(docs: list[tuple[int, str | None]]) -> dict:
         base = sum(math.log10((counts[x] + 0.1) / (total + 0.1 * (distinct + 1))) for x in tokens[d])
         out[d] = (held[d], len(tokens[d]), sum(counts[x] > 0 for x in tokens[d]), total, base)
     return out
+
+
+def edit_distance(a: list, b: list) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def within_one_edit(a: tuple, b: tuple) -> bool:
+    if abs(len(a) - len(b)) > 1:
+        return False
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    x, y = a[head:], b[head:]
+    return x[1:] == y[1:] or x[1:] == y or x == y[1:]
+
+
+def repeated_lines(docs: list[tuple[int, str | None]], least: int = 8) -> dict:
+    lines = sorted(
+        (d, k, tuple(words(line))) for d, t in docs for k, line in enumerate((t or "").split("\n")) if words(line)
+    )
+    first: dict[tuple, tuple] = {}
+    for d, k, w in lines:
+        first.setdefault(w, (d, k))
+    near = set()
+    long_ = sorted((w for w in first if len(w) >= least), key=first.__getitem__)
+    by_half: dict[tuple, list] = {}
+    for w in long_:
+        seen = set()
+        for h in {len(w) // 2, (len(w) - 1) // 2}:
+            seen |= {(h, w[:h]), (-h, w[-h:])}
+        if any(within_one_edit(w, v) for key in seen for v in by_half.get(key, ())):
+            near.add(w)
+        for key in seen:
+            by_half.setdefault(key, []).append(w)
+    out = {d: [0, 0, 0, []] for d, _ in docs}
+    for d, k, w in lines:
+        o = out[d]
+        o[0] += 1
+        if first[w] < (d, k):
+            o[1] += 1
+        elif w in near:
+            o[2] += 1
+        if first[w] < (d, k) or w in near:
+            o[3].append(k)
+    return out
