@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hypnolith.llm.tables import computed
+
 THRESHOLD = 0.8
 #: Runs of other ASCII characters separate tokens; letters are lower-cased before.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -163,9 +165,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     none) share the template labels found in any of them. Other columns are ignored;
     an empty table gives an empty result.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn(
-        "tokens", tokens_of(F.col("text"))
-    )
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = computed(texts, [F.col("doc_id"), F.col("text")], tokens=tokens_of(F.col("text")))
     known = ordered_templates(rows, templates, threshold)
     matches = (
         block_matches(rows, known)

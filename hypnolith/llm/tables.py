@@ -41,6 +41,16 @@ def words_of(text: Column) -> Column:
     )
 
 
+def computed(rows: DataFrame, keep: list[Column], **values: Column) -> DataFrame:
+    """``keep`` and further columns that are worked out once per row.
+
+    They come from a generator of one row, which the optimizer moves no expression
+    through: a later filter or lambda refers to the value and does not repeat it.
+    """
+    struct = F.struct(*[value.alias(name) for name, value in values.items()])
+    return rows.select(*keep, F.inline(F.array(struct)))
+
+
 def bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often ``use`` refers to it."""
     return F.element_at(F.transform(F.array(value), use), 1)
