@@ -11,9 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hypnolith.llm.tables import WORD, bound, words_of
+from hypnolith.llm.tables import WORD, bound, computed, words_of
 
 WINDOW = 5
+# Words that a text must have for its share of stop words to count.
+STOP_WORDS_FROM = 50
 
 # Frequent function words of the languages that are served.
 STOP_WORDS = (
@@ -84,32 +86,30 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, bound(F.transform(places, window), count)).otherwise(0)
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with a struct ``_m`` of measures of the whole text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.withColumn("_words", words_of(F.col("text"))).withColumn(
-        "_lines", F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
+def measures(rows: DataFrame, keep: list[Column]) -> DataFrame:
+    """``keep`` and the measures of the whole text in column ``_text``."""
+    text = F.coalesce(F.col("_text"), F.lit(""))
+    split = computed(
+        rows,
+        [*keep, F.col("_text")],
+        _words=words_of(F.col("_text")),
+        _lines=F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)),
     )
     words, lines = F.col("_words"), F.col("_lines")
     n, n_lines = F.size(words), F.size(lines)
     spaces, symbols = " \t\n\x0b\f\r", "#*$%&|<>"
     stops = F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))
-    found = split.withColumn(
-        "_m",
-        F.struct(
-            n.cast("long").alias("n_words"),
-            F.length(F.translate(text, spaces, "")).cast("long").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, symbols, ""))).cast("long").alias("n_symbols"),
-            (n_lines - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            _repeat_words(words).cast("long").alias("n_repeat_words"),
-            n_lines.cast("long").alias("n_lines"),
-            F.size(stops).cast("long").alias("n_stop_words"),
-        ),
+    return computed(
+        split,
+        keep,
+        n_words=n.cast("long"),
+        word_chars=F.length(F.translate(text, spaces, "")).cast("long"),
+        n_symbols=(F.length(text) - F.length(F.translate(text, symbols, ""))).cast("long"),
+        n_dup_lines=(n_lines - F.size(F.array_distinct(lines))).cast("long"),
+        n_repeat_words=_repeat_words(words).cast("long"),
+        n_lines=n_lines.cast("long"),
+        n_stop_words=F.size(stops).cast("long"),
     )
-    return found.drop("_words", "_lines")
-
-
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
 
 
 RATIOS = {
@@ -122,8 +122,11 @@ RATIOS = {
 
 def _verdict(rows: DataFrame, keep: list[Column], rules: tuple[Rule, ...]) -> DataFrame:
     """``keep`` columns with measures, ratios, base_failed, broken and kept."""
-    rows = measures(rows).select(*keep, *[F.col(f"_m.{name}") for name in MEASURES])
+    rows = measures(rows, keep)
     rows = rows.withColumns({k: F.try_divide(F.col(a), F.col(b)) for k, (a, b) in RATIOS.items()})
+    # A short text may well have no function word.
+    long_ = F.col("n_words") >= STOP_WORDS_FROM
+    rows = rows.withColumn("stop_word_ratio", F.when(long_, F.col("stop_word_ratio")))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     broken = F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.name)) for r in rules]))
     rows = rows.withColumn("base_failed", failed).withColumn("broken", broken)
@@ -137,7 +140,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     repeated rows and ties get equal verdicts; other columns are not looked at, and
     an empty table gives an empty result.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("_text"))
     return _verdict(rows, [F.col("doc_id")], rules)
 
 
@@ -147,7 +150,7 @@ RESULT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repe
 def passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns as they were."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(row, F.col("text").cast("string").alias("text"))
+    rows = docs.select(row, F.col("text").cast("string").alias("_text"))
     return _verdict(rows, [F.col("_row")], rules).filter("kept").select("_row.*")
 
 
@@ -172,7 +175,7 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(word_chars / n_words < 1.5, false)
     AND NOT coalesce(word_chars / n_words > 20.0, false) AND NOT coalesce(n_symbols / n_words > 0.25, false)
-    AND NOT coalesce(n_stops / n_words < 0.01, false)
+    AND NOT coalesce(n_words >= 50 AND n_stops / n_words < 0.01, false)
     AND NOT coalesce(n_dup_lines / n_lines > 0.5, false) AS kept
 FROM f
 """.replace("STOPS", "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]")
