@@ -408,3 +408,25 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         "n_shingles",
         known(F.coalesce("found", "class_id", "doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` whose document is the least of its component, one row per doc_id.
+
+    Rows without doc_id stay unless linked with a document that has one.
+    """
+    found = jaccard_components(docs, size)
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = stored(
+        kept.groupBy(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).agg(F.count("*").alias("times")),
+        "jaccard-kept",
+    )
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    rows = docs.select(ordered_id(docs).alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    repeated = kept.filter((F.col("times") > 1) & (F.col("doc_id") != LAST_ID)).select("doc_id")
+    single = rows_with_ids(rows, kept.join(repeated, "doc_id", "left_anti").select("doc_id"))
+    if repeated.isEmpty():
+        return single.select(*columns)
+    # Which of the rows with one id stays is settled by their values.
+    several = rows_with_ids(rows, repeated).groupBy("doc_id").agg(F.min("_row").alias("_row"))
+    return single.unionByName(several).select(*columns)
