@@ -280,6 +280,30 @@ def _tree_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from flush(True)
 
 
+def _room(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with the signatures of both -> those whose signatures leave room for a link."""
+    for batch in batches:
+        a, b, n_a, n_b = (batch.column(k).to_numpy() for k in range(4))
+        fits = (100 * n_a >= PERCENT * n_b) & (100 * n_b >= PERCENT * n_a)
+        one, two = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+        for k in np.flatnonzero(fits).tolist():
+            width = min(len(one[k]), len(two[k]))
+            bits = _folded([one[k], two[k]], width)
+            held = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+            hidden = max(0, min(int(n_a[k] - held[0]), int(n_b[k] - held[1])))
+            common = int(np.bitwise_count(bits[0] & bits[1]).sum(dtype=np.int64)) + hidden
+            fits[k] = common >= overlap_needed(int(n_a[k] + n_b[k]))
+        yield pa.RecordBatch.from_arrays([pa.array(a[fits]), pa.array(b[fits])], names=["a", "b"])
+
+
+def with_room(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow a link; a bitmap is far smaller than its set."""
+    one = signatures.select(F.col("class_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bitmap").alias("bits_a"))
+    two = signatures.select(F.col("class_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bitmap").alias("bits_b"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(_room, "a long, b long")
+
+
 # --- verification --------------------------------------------------------------------
 
 
@@ -368,6 +392,10 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         .agg(F.max(F.struct(F.col("times"), (-F.col("lo")).alias("minus"))).alias("best"))
         .select((-F.col("best.minus")).alias("a"), F.col("class_id").alias("b"))
     )
+    signatures = stored(
+        classes.select(F.col("doc_id").alias("class_id"), "n_shingles", "bitmap"), "jaccard-signatures"
+    )
+    nearest = stored(with_room(nearest, signatures).distinct(), "jaccard-nearest")
     first = stored(_linked(nearest, texts, size), "jaccard-links")
     joined = stored(components(first), "jaccard-components")
 
@@ -377,10 +405,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
     several = labelled.groupBy("root").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     open_ = labelled.join(several.select("root"), "root")
-    signatures = classes.select(F.col("doc_id").alias("_class"), "n_shingles", "bitmap")
     size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
     member = (
-        open_.join(signatures, F.col("class_id") == F.col("_class"))
+        open_.join(signatures, "class_id")
         .select("root", "class_id", "comp", "n_shingles", "bitmap", size_class.alias("_own"))
         .withColumn("_place", F.explode(F.array(*[
             F.struct((F.col("_own") + k).alias("size_class"), F.lit(k).alias("partner")) for k in (0, 1)
