@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypnolith.llm.substring_dedup import LAST_ID, ordered_id
-from hypnolith.llm.tables import with_batches
+from hypnolith.llm.tables import LAST_ID, ordered_id, with_batches
 from hypnolith.llm.words import NOT_ALNUM, Words, mixed, run_hashes, steps
 
 EDIT_RATE = 0.2

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypnolith.llm.substring_dedup import LAST_ID, ordered_id
-from hypnolith.llm.tables import stored, with_batches
+from hypnolith.llm.tables import LAST_ID, ordered_id, stored, with_batches
 from hypnolith.llm.words import Words, mixed, powers, signed, steps
 
 LEAST_WORDS = 8

@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypnolith.llm.components import components
-from hypnolith.llm.substring_dedup import LAST_ID, ordered_id
-from hypnolith.llm.tables import stored, with_batches
+from hypnolith.llm.tables import LAST_ID, ordered_id, rows_with_ids, stored, with_batches
 from hypnolith.llm.words import Words, run_hashes, signed, steps, whole_hashes
 
 SHINGLE = 5
@@ -42,8 +41,6 @@ CELLS = 1 << 18
 SLICES = 64
 FANOUT = 8
 LEAST_BITS, MOST_BITS = 64, 4096
-# So many document ids are sent to all executors (16 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1 << 20
 
 SETS = "doc_id long, n_shingles long, digest binary, prefix array<long>, bitmap binary"
 
@@ -322,12 +319,6 @@ def _sets_of(size: int):
     return run
 
 
-def rows_with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is among ``ids`` (distinct); ids are broadcast if they are few."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-
 def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) whose whole sets meet the threshold."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()

@@ -8,9 +8,9 @@ Whether symbols merge depends on their names and their neighbours' only; every s
 carries the range of words that decided it, its context.
 
 Equal windows of ``WINDOW`` words thus hold the same symbols wherever the context lies
-inside the window. Of the last round's symbols there, the least in a scrambled order
-is the window's key, long ones first; a window without a symbol whose context it holds
-has its own digest as key. Keys that no second document has, nearly all, rule their windows out. The
+inside the window. Of the phrases of ``PHRASE`` neighbouring last-round symbols there,
+the least in a scrambled order is the window's key, long ones first; a window that
+holds no phrase with its context has its own digest as key. Keys that no second document has, nearly all, rule their windows out. The
 others' windows are compared by (key, digest of the words), 128 bits.
 
 Documents whose words are all equal are settled by a digest of the whole first, so
@@ -24,20 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypnolith.llm.tables import stored, with_batches
+from hypnolith.llm.tables import LAST_ID, ordered_id, rows_with_ids, stored, with_batches
 from hypnolith.llm.words import Words, mixed, run_hashes, signed, steps, whole_hashes
 
 WINDOW = 50
-ROUNDS = 4
-# Symbols of fewer words are a key only where a window has no longer one.
-LONG_SYMBOL = 4
+ROUNDS = 3
+PHRASE = 3
+# Phrases of fewer words are a key only where a window has no longer one.
+LONG_PHRASE = 8
 
 _LEFT, _RIGHT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-#: Doc ids compare as longs; rows without one come after all others.
-LAST_ID = (1 << 63) - 1
 
 
 class Symbols:
@@ -94,6 +93,22 @@ class Symbols:
         return Symbols(name[kept], self.start[kept], end[kept], low[kept], high[kept], self.text[kept])
 
 
+    def phrases(self, length: int) -> Symbols:
+        """Every ``length`` neighbouring symbols of one text as one symbol."""
+        count = len(self.name) - length + 1
+        if count < 1:
+            return Symbols(*[x[:0] for x in (self.name, self.start, self.end, self.low, self.high, self.text)])
+        name = self.name[:count]
+        for k in range(1, length):
+            name = mixed(name * _LEFT ^ mixed(self.name[k : count + k] * _RIGHT))
+        last = slice(length - 1, None)
+        one = self.text[:count] == self.text[last]
+        return Symbols(
+            name[one], self.start[:count][one], self.end[last][one], self.low[:count][one],
+            self.high[last][one], self.text[:count][one],
+        )
+
+
 def _range_minimum(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Least of values[begin:end] for ranges that are not empty."""
     out = np.empty(len(begin), values.dtype)
@@ -119,7 +134,8 @@ def window_keys(words: Words, hashes: np.ndarray, window: int, rounds: int):
     symbols = Symbols.of_words(hashes, words.text_of)
     for number in range(rounds):
         symbols = symbols.runs_replaced().pairs_merged(number)
-    short = (symbols.end - symbols.start < LONG_SYMBOL).astype(np.uint64)
+    symbols = symbols.phrases(PHRASE)
+    short = (symbols.end - symbols.start < LONG_PHRASE).astype(np.uint64)
     rank = (mixed(symbols.name) >> np.uint64(1)) | (short << np.uint64(63))
     begin = np.searchsorted(symbols.low, at, "left")
     end = np.searchsorted(symbols.high, at + window, "right")
@@ -232,11 +248,6 @@ def _kept(window: int):
     return run
 
 
-def ordered_id(docs: DataFrame) -> Column:
-    """doc_id as a long; a missing one comes last."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
@@ -259,12 +270,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     )
     classed = stored(
         parsed.join(first, (F.col("whole") == F.col("w")) & (F.col("again") == F.col("a")), "left").select(
-            "doc_id", "n_words", "sha", "keys", (F.col("first_id") < F.col("doc_id")).alias("copy")
+            "doc_id", "n_words", "sha", (F.col("first_id") < F.col("doc_id")).alias("copy")
         ),
         "substring-classes",
     )
     # Only one document of each class of equal ones takes part from here on.
-    keyed = classed.filter("copy = false").select("doc_id", F.explode("keys").alias("key"))
+    copies = stored(classed.filter("copy").select("doc_id").distinct(), "substring-copies")
+    keyed = rows_with_ids(parsed.select("doc_id", "keys"), copies, "left_anti")
+    keyed = keyed.select("doc_id", F.explode("keys").alias("key"))
     shared = (
         keyed.groupBy("key")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))

@@ -16,6 +16,28 @@ BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
 
 
+# So many document ids are sent to all executors (16 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
+
+#: Doc ids compare as longs; rows without one come after all others.
+LAST_ID = (1 << 63) - 1
+
+
+def ordered_id(docs: DataFrame) -> Column:
+    """doc_id as a long; a missing one comes last."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+
+
+def rows_with_ids(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose doc_id is (or with ``left_anti``, is not) among the distinct ``ids``.
+
+    Few ids are broadcast, after they have been counted, so that the rows stay where
+    they are.
+    """
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id", how)
+
+
 def with_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
