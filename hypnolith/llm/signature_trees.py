@@ -40,6 +40,10 @@ PERCENT = 80
 CELLS = 1 << 18
 SLICES = 64
 FANOUT = 8
+# Roots of one least component make a family, or several of so many members; their
+# members are searched together, because most roots of two components repeat the same pairs.
+FAMILY_ROWS = 1 << 16
+MOST_ROWS = 1 << 17
 LEAST_BITS, MOST_BITS = 64, 4096
 
 SETS = "doc_id long, n_shingles long, digest binary, prefix array<long>, bitmap binary"
@@ -229,7 +233,7 @@ def _folded(bitmaps: list[bytes], width: int) -> np.ndarray:
 
 
 def _tree_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members sorted by (root, size class) -> candidate pairs of classes."""
+    """Members sorted by (family, root, size class) -> candidate pairs, once per family."""
     held: list[pa.RecordBatch] = []
 
     def search(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -244,37 +248,42 @@ def _tree_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         width = np.minimum.reduceat(lengths, np.flatnonzero(change))[tree]
         n = column("n_shingles")
         comp, partner, ids = column("comp"), column("partner"), column("class_id")
+        found = [np.zeros((0, 2), np.int64)]
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
             bits = _folded([bitmaps[k] for k in at], int(w))
             hidden = n[at] - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
             for a, b in tree_pairs(tree[at], bits, n[at], np.maximum(hidden, 0), comp[at], partner[at]):
                 x, y = ids[at][a], ids[at][b]
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-                pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"]
-                )
-
-    def flush(last: bool) -> Iterator[pa.RecordBatch]:
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y])
+                if len(found) > 100:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        for k in range(0, len(pairs), 100_000):
+            cut = np.ascontiguousarray(pairs[k : k + 100_000].T)
+            yield pa.RecordBatch.from_arrays([pa.array(cut[0]), pa.array(cut[1])], names=["a", "b"])
+
+    def flush(last: bool, rows: int) -> Iterator[pa.RecordBatch]:
         nonlocal held
         table = pa.Table.from_batches(held)
-        roots = table.column("root").to_numpy()
-        cut = len(roots) if last else int(np.searchsorted(roots == roots[-1], True))
+        # Roots of one family stay together, if they are not too many.
+        family, roots = table.column("family").to_numpy(), table.column("root").to_numpy()
+        cut = int(np.searchsorted(family == family[-1], True))
+        if not cut and rows >= MOST_ROWS:
+            cut = len(roots) - int(np.searchsorted((roots != roots[-1])[::-1], True))
+        cut = len(roots) if last else cut
         if cut:
             yield from search(table.slice(0, cut))
         held = table.slice(cut).combine_chunks().to_batches() if cut < len(roots) else []
 
-    waiting = 0
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-            waiting += batch.num_rows
-            if waiting >= 20_000:
-                yield from flush(False)
-                waiting = 0
+            rows = sum(b.num_rows for b in held)
+            if rows >= 20_000:
+                yield from flush(False, rows)
     if held:
-        yield from flush(True)
+        yield from flush(True, 0)
 
 
 def _room(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +350,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     A-Z count as a-z. A text with fewer than ``size`` words is one shingle; null and
     blank texts have none and link with nothing, their component is their own id.
     Rows that share a doc_id are one node of the graph. Rows without doc_id come
-    last and have a null component unless linked with a document that has one.
+    last, each for itself; their component is null unless they are linked with a
+    document that has an id.
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -394,20 +404,29 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     labelled = rooted.join(joined, rooted["class_id"] == joined["node"], "left").select(
         "root", "class_id", F.coalesce("component", "class_id").alias("comp")
     )
-    several = labelled.groupBy("root").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    open_ = labelled.join(several.select("root"), "root")
+    several = (
+        labelled.groupBy("root")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows"))
+        .filter("lo <> hi")
+    )
+    several = stored(several.select("root", "lo", "rows"), "jaccard-open-roots")
+    parts = several.groupBy("lo").agg(F.ceil(F.sum("rows") / FAMILY_ROWS).alias("parts"))
+    families = several.join(parts, "lo").select(
+        "root", F.xxhash64("lo", F.pmod(F.xxhash64("root"), F.col("parts"))).alias("family")
+    )
+    open_ = labelled.join(families, "root")
     size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
     member = (
         open_.join(signatures, "class_id")
-        .select("root", "class_id", "comp", "n_shingles", "bitmap", size_class.alias("_own"))
+        .select("family", "root", "class_id", "comp", "n_shingles", "bitmap", size_class.alias("_own"))
         .withColumn("_place", F.explode(F.array(*[
             F.struct((F.col("_own") + k).alias("size_class"), F.lit(k).alias("partner")) for k in (0, 1)
         ])))
-        .select("root", "_place.size_class", "_place.partner", "class_id", "comp", "n_shingles", "bitmap")
+        .select("family", "root", "_place.size_class", "_place.partner", "class_id", "comp", "n_shingles", "bitmap")
     )
     candidates = (
-        member.repartition("root", "size_class")
-        .sortWithinPartitions("root", "size_class", "comp", "n_shingles", "class_id")
+        member.repartition("family", "size_class")
+        .sortWithinPartitions("family", "root", "size_class", "comp", "n_shingles", "class_id")
         .mapInArrow(_tree_candidates, "a long, b long")
         .distinct()
     )
@@ -431,10 +450,10 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose document is the least of its component, one row per doc_id.
 
-    Rows without doc_id stay unless linked with a document that has one.
+    Rows without doc_id cannot be told apart by it; all of them stay.
     """
     found = jaccard_components(docs, size)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     kept = stored(
         kept.groupBy(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")).agg(F.count("*").alias("times")),
         "jaccard-kept",
