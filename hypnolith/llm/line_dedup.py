@@ -227,11 +227,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def without_lines(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with their repeated lines taken out of the text."""
     found = repeated_lines(docs).filter("size(removed) > 0").select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("_id"), "removed"
+        F.coalesce("doc_id", F.lit(LAST_ID)).alias("_found"), F.col("removed").alias("_removed")
     ).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     kept = F.filter(
-        F.split("text", "\n"), lambda line, k: ~F.coalesce(F.array_contains("removed", k), F.lit(False))
+        F.split("_row.text", "\n"), lambda line, k: ~F.coalesce(F.array_contains("_removed", k), F.lit(False))
     )
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(found, ordered_id(docs) == F.col("_id"), "left").select(*columns)
+    text = F.when(F.col("_removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
+    columns = [text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]
+    rows = docs.select(row, ordered_id(docs).alias("_id"))
+    return rows.join(found, F.col("_id") == F.col("_found"), "left").select(*columns)
