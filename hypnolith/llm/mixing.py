@@ -160,17 +160,16 @@ def mixed_documents(
     docs: DataFrame, seed: str = SEED, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    columns = docs.columns
     sizes = stored(sized(docs, seed), "mix")
     share = shares(sizes, weigh, max_epochs)
-    keyed = docs.withColumn("_key", order_key(F.col("doc_id"), seed))
-    joined = keyed.join(share, F.col("source").cast("string").eqNullSafe(F.col("share_source")), "left")
-    times = F.sequence(F.lit(1), repetitions())
-    return (
-        joined.filter(repetitions() > 0)
-        .withColumn("_copy", F.explode(times))
-        .select(*[F.col(f"`{c}`") for c in columns])
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("source").cast("string").alias("_source"),
+        order_key(F.col("doc_id"), seed).alias("_key"),
     )
+    joined = rows.join(share, F.col("_source").eqNullSafe(F.col("share_source")), "left")
+    times = F.sequence(F.lit(1), repetitions())
+    return joined.filter(repetitions() > 0).select("_row", F.explode(times).alias("_copy")).select("_row.*")
 
 
 ORACLE = r"""
