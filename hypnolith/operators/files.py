@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hypnolith.functions.times import date_text, time_text, utc_time
+
 # File-name patterns, matched without case, and which hypnogram code
 # belongs to which recording code.
 PSG_PATTERN = r"(?i)^([A-Z]{2}\d{4})(E[01])-PSG\.edf$"
@@ -12,6 +14,14 @@ HYPNOGRAM_PATTERN = r"(?i)^([A-Z]{2}\d{4})(E[A-Z])-Hypnogram\.edf$"
 HYPNOGRAM_OF_RECORDING = (("E0", "EC"), ("E1", "EH"))
 
 
+#: Names are unique, and files pair up, within a folder where files have one.
+FOLDER = "folder"
+
+
+def _folder(rows: DataFrame) -> list[str]:
+    return [FOLDER] if FOLDER in rows.columns else []
+
+
 def _part(pattern: str, group: int) -> Column:
     return F.upper(F.regexp_extract("name", pattern, group))
 
@@ -22,6 +32,7 @@ def parse_filenames(manifest: DataFrame) -> DataFrame:
     subject = F.when(psg, _part(PSG_PATTERN, 1)).otherwise(_part(HYPNOGRAM_PATTERN, 1))
     code = F.when(psg, _part(PSG_PATTERN, 2)).otherwise(_part(HYPNOGRAM_PATTERN, 2))
     return manifest.select(
+        *_folder(manifest),
         "kind",
         "name",
         F.nullif(subject, F.lit("")).alias("subject"),
@@ -36,10 +47,11 @@ def _outcomes(parsed: DataFrame) -> DataFrame:
     at most 16 upper/lower-case spellings of each.
     """
     hypnograms = parsed.filter("kind = 'hypnogram' AND subject IS NOT NULL")
-    by_code = hypnograms.groupBy("subject", F.col("code").alias("preferred")).agg(
+    within = _folder(parsed)
+    by_code = hypnograms.groupBy(*within, "subject", F.col("code").alias("preferred")).agg(
         F.max("name").alias("preferred_name")
     )
-    by_subject = hypnograms.groupBy("subject").agg(
+    by_subject = hypnograms.groupBy(*within, "subject").agg(
         F.sort_array(F.collect_list("name")).alias("candidates")
     )
     preferred = F.lit(None).cast("string")
@@ -56,8 +68,8 @@ def _outcomes(parsed: DataFrame) -> DataFrame:
     return (
         parsed.filter("kind = 'psg'")
         .withColumn("preferred", preferred)
-        .join(by_code, ["subject", "preferred"], "left")
-        .join(by_subject, "subject", "left")
+        .join(by_code, [*within, "subject", "preferred"], "left")
+        .join(by_subject, [*within, "subject"], "left")
         .withColumn("status", status)
         .withColumn(
             "hyp_filename",
@@ -78,6 +90,7 @@ def pair_recordings(parsed: DataFrame) -> DataFrame:
         _outcomes(parsed)
         .filter("hyp_filename IS NOT NULL")
         .select(
+            *_folder(parsed),
             F.col("subject").alias("patients_code"),
             F.col("code").alias("rec_code"),
             F.col("name").alias("psg_filename"),
@@ -90,6 +103,7 @@ def pairing_report(parsed: DataFrame) -> DataFrame:
     """One status per recording file, with the candidates of an ambiguous one."""
     listed = F.when(F.col("status") == "ambiguous", F.array_join("candidates", ", "))
     return _outcomes(parsed).select(
+        *_folder(parsed),
         F.col("name").alias("psg_filename"),
         "status",
         "hyp_filename",
@@ -99,13 +113,10 @@ def pairing_report(parsed: DataFrame) -> DataFrame:
 
 def recording_datetime(files: DataFrame) -> DataFrame:
     """Recording date and time in UTC: the header's, else the file's modification time."""
-    moment = F.coalesce(F.col("meas_date").cast("timestamp"), F.col("modified").cast("timestamp"))
-    has_fraction = F.unix_micros(moment) % 1000000 != 0
-    stamp = F.when(has_fraction, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")).otherwise(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    )
+    moment = F.coalesce(utc_time(files, "meas_date"), utc_time(files, "modified"))
     return files.select(
+        *_folder(files),
         F.col("name").alias("psg_filename"),
-        F.date_format(moment, "yyyy-MM-dd").alias("rec_date"),
-        stamp.alias("rec_log"),
+        date_text(moment).alias("rec_date"),
+        F.concat(time_text(moment, fraction=True), F.lit("+00:00")).alias("rec_log"),
     )

@@ -112,10 +112,9 @@ class RawTables:
         return derived.file_manifest(self.events)
 
 
-# Raw bytes whose epochs one task builds and one bucket holds: some ten million
-# epochs. The limit is Spark's own on buckets.
+# Raw bytes whose epochs one task builds and one bucket holds, whatever the size of the
+# whole: some ten million epochs.
 RAW_BYTES_PER_BUCKET = 4 << 20
-MAX_BUCKETS = 100_000
 
 FileState = tuple[int, int, int]
 
@@ -138,7 +137,7 @@ def _state(spark: SparkSession, folder: str) -> list[FileState]:
 def epoch_partitions(spark: SparkSession, raw_bytes: int) -> int:
     """Partitions to build epochs in: sized by the raw data, never below the session's count."""
     session_count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(session_count, -(-raw_bytes // RAW_BYTES_PER_BUCKET)))
+    return max(session_count, -(-raw_bytes // RAW_BYTES_PER_BUCKET))
 
 
 def load_mart(spark: SparkSession, folder: str) -> Mart:

@@ -53,7 +53,7 @@ def _on_mart(name: str):
 
 @_on_raw("file_manifest")
 def _(raw):
-    return folder.manifest(raw.files).select("kind", "name")
+    return folder.manifest(raw.files).select("folder", "kind", "name")
 
 
 @_on_raw("parse_filenames")

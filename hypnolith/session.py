@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -13,10 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# Settings that stored tables rely on, applied to sessions built elsewhere too.
-# Recording times are kept and reported in UTC. A bucket of epochs is one sorted
-# file, and with the second setting Spark uses that order instead of sorting again
-# (it checks that every bucket is a single file).
+# A setting that stored tables rely on, applied to sessions built elsewhere too. A bucket
+# of epochs is one sorted file, and Spark then uses that order instead of sorting again
+# (it checks that every bucket is a single file). Times need no setting: operators keep
+# and report them in UTC whatever the session's zone is.
 TABLE_SETTINGS = {
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
@@ -49,13 +53,26 @@ def apply_table_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="hypnolith-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """New, unique sub-folder of the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage that outlives an executor. Only where
-    it is unset (a local session, tests) does a temporary folder stand in.
+    ``spark.checkpoint.dir`` names storage that outlives an executor and that all of
+    them see. A local session may do without: one temporary folder, removed when
+    Python ends, stands in. Elsewhere a missing setting is an error, since executors
+    would write to disks of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="hypnolith-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
+        root = _local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

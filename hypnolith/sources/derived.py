@@ -1,15 +1,23 @@
 """Sleep tables derived from the ``events`` and ``customer`` tables.
 
-Each user and quarter-month makes one recording; each event makes one
-annotation, with a week of wall-clock time scaled to 8.4 hours of sleep.
+Each user and week of a month makes one recording; each event makes one
+annotation, with a week of wall-clock time scaled to 8.4 hours of sleep. Ids and
+names hold every user, month and week: none is shortened or folded onto another.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hypnolith.functions.keys import lookup_by_salted_key
+from hypnolith.functions.times import date_text, micros, time_text, utc_time
+
+# Periods (weeks of months since 1970) per user in a recording's id.
+PERIODS = 100_000
+# Subjects that two letters and four digits tell apart, and the place of the letters SC.
+SUBJECTS = 6_760_000
+FIRST_LETTERS = 18 * 26 + 2
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,18 +25,24 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _timed(events: DataFrame) -> DataFrame:
-    return events.select(
-        "event_id",
-        "event_type",
-        "ts",
-        "user_id",
-        F.floor((F.dayofmonth("ts") - 1) / 7).alias("wk"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-    ).withColumn("rec_id", F.col("user_id") * 10 + F.col("wk"))
+    timed = events.select(
+        "event_id", "event_type", utc_time(events, "ts").alias("ts"), "user_id"
+    )
+    month = (F.year("ts") - 1970) * 12 + F.month("ts") - 1
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    return timed.select(
+        "*", (month * 5 + week).alias("period"), micros(F.col("ts")).alias("us")
+    ).withColumn("rec_id", F.col("user_id") * PERIODS + F.col("period"))
+
+
+def _padded(number: Column, width: int) -> Column:
+    """Digits with zeros before them up to ``width``; longer numbers stay whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def _patient_code(user: str):
-    return F.concat(F.lit("SC"), F.lpad(F.col(user).cast("string"), 6, "0"))
+    return F.concat(F.lit("SC"), _padded(F.col(user), 6))
 
 
 def patients(customer: DataFrame) -> DataFrame:
@@ -46,17 +60,17 @@ def patients(customer: DataFrame) -> DataFrame:
 
 
 def recordings(events: DataFrame) -> DataFrame:
-    started = _timed(events).groupBy("user_id", "wk").agg(F.min("ts").alias("first_ts"))
+    started = _timed(events).groupBy("user_id", "period", "rec_id").agg(F.min("ts").alias("first_ts"))
     code = _patient_code("user_id")
-    rec_code = F.concat(F.lit("E"), F.col("wk").cast("string"))
+    rec_code = F.concat(F.lit("E"), F.col("period").cast("string"))
     return started.select(
-        (F.col("user_id") * 10 + F.col("wk")).alias("rec_id"),
+        "rec_id",
         F.col("user_id").alias("patients_id"),
         rec_code.alias("rec_code"),
         F.concat(code, rec_code, F.lit("-PSG.edf")).alias("psg_filename"),
         F.concat(code, F.lit("EC-Hypnogram.edf")).alias("hyp_filename"),
-        F.col("first_ts").cast("date").cast("string").alias("rec_date"),
-        F.date_format("first_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("rec_log"),
+        date_text(F.col("first_ts")).alias("rec_date"),
+        time_text(F.col("first_ts")).alias("rec_log"),
     )
 
 
@@ -97,22 +111,38 @@ def annotations(events: DataFrame) -> DataFrame:
 
 
 def file_manifest(events: DataFrame) -> DataFrame:
-    """File names of a raw-data folder, with header and modification times."""
-    users = _timed(events)
-    weeks = users.groupBy("user_id", "wk").agg(
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
-    )
-    user = F.col("user_id")
-    subject = F.concat(F.lit("SC"), F.lpad(user.cast("string"), 4, "0"))
-    psg = weeks.filter("wk < 2 AND user_id % 50 <> 7").select(
-        F.concat(subject, F.lit("E"), F.col("wk").cast("string"), F.lit("-PSG.edf")).alias("name"),
+    """File names of raw-data folders, with header and modification times.
+
+    Names have room for two letters, four digits and two recordings: two weeks of one
+    month share a folder, and so do users with one number beyond the 6.76 million that
+    letters and digits tell apart.
+    """
+    user, place = F.col("user_id"), F.floor(F.col("period") / 2)
+    folder = F.concat_ws(
+        "-", _padded(place, 4), F.when(user >= SUBJECTS, F.expr(f"user_id div {SUBJECTS}").cast("string"))
+    )
+    weeks = (
+        _timed(events)
+        .groupBy("user_id", "period")
+        .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        .withColumn("folder", folder)
+    )
+    letters = F.expr(f"{FIRST_LETTERS} + user_id div 10000") % 676
+    subject = F.concat(
+        F.chr(65 + F.floor(letters / 26)), F.chr(65 + letters % 26), _padded(user % 10000, 4)
+    )
+    parity = (F.col("period") % 2).cast("string")
+    psg = weeks.filter("user_id % 50 <> 7").select(
+        "folder",
+        F.concat(subject, F.lit("E"), parity, F.lit("-PSG.edf")).alias("name"),
         F.when(user % 3 != 0, F.col("first_ts")).alias("meas_date"),
         F.col("last_ts").alias("modified"),
     )
-    per_user = weeks.filter("wk < 2").groupBy("user_id").agg(
+    per_user = weeks.groupBy("user_id", "folder").agg(
         F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
     odd = per_user.filter("user_id % 50 = 7").select(
+        "folder",
         F.concat(subject, F.lit("E9-PSG.edf")).alias("name"),
         F.when(user % 3 != 0, F.col("first_ts")).alias("meas_date"),
         F.col("last_ts").alias("modified"),
@@ -124,9 +154,10 @@ def file_manifest(events: DataFrame) -> DataFrame:
         .when(user % 5 == 4, F.array(F.lit("EC"), F.lit("EH")))
     )
     hyp = (
-        per_user.select("user_id", "last_ts", F.explode(codes).alias("code"))
+        per_user.select("user_id", "folder", "last_ts", F.explode(codes).alias("code"))
         .withColumn("stem", F.concat(subject, F.col("code")))
         .select(
+            "folder",
             F.concat(
                 F.when(user % 5 == 4, F.lower("stem")).otherwise(F.col("stem")),
                 F.lit("-Hypnogram.edf"),
@@ -183,7 +214,7 @@ def epochs_bad(epochs: DataFrame) -> DataFrame:
             F.array().cast("array<bigint>")
         ),
         F.when(
-            (index == 0) & (F.col("rec_id") % 97 == 0), F.array(F.col("rec_id") + 1000000)
+            (index == 0) & (F.col("rec_id") % 97 == 0), F.array(-1 - F.col("rec_id"))
         ).otherwise(F.array().cast("array<bigint>")),
     )
     return bad.withColumn("rec_id", F.explode(copies))
@@ -193,7 +224,7 @@ def notes_bad(notes: DataFrame) -> DataFrame:
     rec = F.col("rec_id")
     bad = notes.withColumn("had_coffee", F.when(rec % 13 == 0, 2).otherwise(F.col("had_coffee")))
     bad = bad.withColumn("stress", F.when(rec % 17 != 0, F.col("stress")))
-    ids = F.when(rec % 97 == 0, F.array(rec, rec + 1000000)).otherwise(F.array(rec))
+    ids = F.when(rec % 97 == 0, F.array(rec, -1 - rec)).otherwise(F.array(rec))
     return bad.withColumn("rec_id", F.explode(ids))
 
 

@@ -13,6 +13,8 @@ from hypnolith.operators.epochs import replace_epochs
 from hypnolith.schemas import EPOCHS, TABLES
 
 REC_BUCKET = "rec_bucket"
+# Spark's own limit, raised where the data ask for more buckets.
+MOST_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
 
 
 def write_epochs(
@@ -34,6 +36,8 @@ def write_epochs(
     """
     spark = epochs.sparkSession
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if count > int(spark.conf.get(MOST_BUCKETS)):
+        spark.conf.set(MOST_BUCKETS, str(count))
     table = f"hypnolith_epochs_{uuid.uuid4().hex}"
     rows = with_block(epochs, block_epochs).select(*EPOCHS.fieldNames(), BLOCK)
     if not hashed:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+
 from hypnolith.operators.files import (
     pair_recordings,
     pairing_report,
     parse_filenames,
     recording_datetime,
 )
+from hypnolith.session import working_folder
+from hypnolith.sources import derived
 from hypnolith.sources.folder import manifest, scan_folder
 
 NAMES = [
@@ -108,6 +112,55 @@ def test_header_time_wins_over_modification_time(spark):
     }
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_are_utc_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        files = spark.range(1).selectExpr(
+            "'a' AS name", "timestamp_ntz'1989-04-02 02:30:00' AS meas_date",
+            "timestamp_micros(609300780000250) AS modified",
+        )
+        rows = recording_datetime(files.union(files.selectExpr("'b'", "NULL", "modified"))).collect()
+        assert {r.psg_filename: (r.rec_date, r.rec_log) for r in rows} == {
+            "a": ("1989-04-02", "1989-04-02T02:30:00+00:00"),
+            "b": ("1989-04-23", "1989-04-23T02:13:00.000250+00:00"),
+        }
+        events = spark.range(1).selectExpr(
+            "1L AS event_id", "'view' AS event_type", "timestamp_ntz'2024-03-10 02:30:00' AS ts", "7L AS user_id"
+        )
+        later = events.selectExpr("2L", "event_type", "timestamp_ntz'2024-03-10 03:30:00'", "user_id")
+        onsets = [r.onset for r in derived.annotations(events.union(later)).orderBy("ann_seq").collect()]
+        assert onsets == [0.0, 180.0]
+        assert derived.recordings(events).first().rec_log == "2024-03-10T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_no_user_week_or_month_is_merged(spark):
+    users = [1000, 10000, 1000000, 6761000, 100010000]
+    days = ["2024-01-01", "2024-01-09", "2024-01-16", "2024-01-30", "2024-02-01", "2025-01-01"]
+    rows = [(n, "view", datetime.fromisoformat(d), u) for n, (u, d) in enumerate((u, d) for u in users for d in days)]
+    events = spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp_ntz, user_id long")
+    recordings = derived.recordings(events).collect()
+    assert len({r.rec_id for r in recordings}) == len({r.psg_filename for r in recordings}) == len(rows)
+    files = manifest(derived.file_manifest(events))
+    psg = parse_filenames(files).filter("kind = 'psg' AND subject IS NOT NULL").collect()
+    assert len({(r.folder, r.subject, r.code) for r in psg}) == len(psg) == len(rows)
+    assert len({(r.folder[4:], r.subject) for r in psg}) == len(users)
+    customers = spark.createDataFrame([(u,) for u in users], "c_custkey long")
+    assert derived.patients(customers).select("patients_code").distinct().count() == len(users)
+
+
+def test_shared_folder_is_needed_beyond_one_machine(monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        working_folder(Session, "x")
+
+
 def test_scan_folder_reads_only_the_listing(spark, tmp_path):
     for name in NAMES:
         (tmp_path / name).write_bytes(b"x" * 10)

@@ -9,8 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = entry_points.QUERIES
+ORACLES = entry_points.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,7 @@ def _normal(rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
