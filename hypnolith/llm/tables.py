@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Rows and bytes of one Arrow batch, so that Python memory does not grow with long texts.
 BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 # So many document ids are sent to all executors (16 MB); more are joined by a shuffle.

@@ -35,7 +35,7 @@ from hypnolith.llm.tables import stored, with_batches
 BLOCK_IDS = 1 << 16
 END_ID = 0
 # Distinct pieces of text whose ids a Python worker remembers before it starts anew.
-REMEMBERED = 3 << 18
+REMEMBERED = 1 << 19
 
 BLOCKS = (
     "part int, block long, first_id long, n_ids int, planes string, plane_bytes array<int>, "
