@@ -113,6 +113,21 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(checks)
 
 
+def rows_left(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, id, n and sum of epoch places: what each table holds per patient or recording."""
+    keys = {"patients": "patients_id", "recordings": "rec_id", "epochs": "rec_id", "notes": "rec_id"}
+    place = lambda name: F.sum("epoch_idx") if name == "epochs" else F.lit(0).cast("long")
+    return _union(
+        [
+            tables[name]
+            .groupBy(F.col(key).alias("id"))
+            .agg(F.count(F.lit(1)).alias("n"), place(name).alias("places"))
+            .select(F.lit(name).alias("table_name"), "id", "n", "places")
+            for name, key in keys.items()
+        ]
+    )
+
+
 def cascade_delete(
     tables: dict[str, DataFrame],
     deleted_patients: DataFrame,

@@ -22,6 +22,7 @@ class Mart:
     recordings: DataFrame
     notes: DataFrame
     epochs: DataFrame
+    buckets: int = 0  # of the stored epochs
 
     @property
     def tables(self) -> dict[str, DataFrame]:
@@ -165,6 +166,7 @@ def load_mart(spark: SparkSession, folder: str) -> Mart:
             buckets=partitions,
             hashed=True,
         ),
+        buckets=partitions,
     )
     _stored[key] = (state, mart)
     return mart

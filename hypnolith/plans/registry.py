@@ -164,11 +164,7 @@ def _(mart):
 
 @_on_mart("epoch_layout")
 def _(mart):
-    return mart.epochs.groupBy("rec_id").agg(
-        F.count(F.lit(1)).alias("n_epochs"),
-        F.min("start_sec").alias("first_start_sec"),
-        F.max("start_sec").alias("last_start_sec"),
-    )
+    return storage.layout(mart.epochs, mart.buckets)
 
 
 # --- constraints ---------------------------------------------------------------
@@ -206,7 +202,7 @@ def _(mart):
 @_on_mart("cascade_delete")
 def _(mart):
     deleted = mart.patients.filter("patients_id % 10 = 3")
-    return quality.table_sizes(quality.cascade_delete(mart.tables, deleted))
+    return quality.rows_left(quality.cascade_delete(mart.tables, deleted))
 
 
 # --- views -----------------------------------------------------------------------

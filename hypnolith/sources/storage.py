@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from hypnolith.functions.keys import BLOCK, EPOCH_BLOCK, block_of, with_block
 from hypnolith.operators.epochs import replace_epochs
-from hypnolith.schemas import EPOCHS, TABLES
+from hypnolith.schemas import EPOCH_SEC, EPOCHS, TABLES
 
 REC_BUCKET = "rec_bucket"
 # Spark's own limit, raised where the data ask for more buckets.
@@ -53,6 +53,27 @@ def write_epochs(
     return spark.table(table)
 
 
+def layout(epochs: DataFrame, buckets: int) -> DataFrame:
+    """Per recording of an epochs table stored in ``buckets``: its extent, and what breaks the layout.
+
+    ``missing`` counts epochs that are not there between 0 and the last; ``misplaced``
+    counts rows in another bucket's file than their (rec_id, epoch_block) asks for,
+    or whose start is not that of their place.
+    """
+    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    bucket = F.regexp_extract(file, r"_(\d+)(?:\.[^/]*)?$", 1).cast("int")
+    wrong = (bucket != F.pmod(F.hash("rec_id", BLOCK), F.lit(buckets))) | (
+        F.col("start_sec") != F.col("epoch_idx") * EPOCH_SEC
+    )
+    return epochs.withColumn("_wrong", F.coalesce(wrong, F.lit(True))).groupBy("rec_id").agg(
+        F.count(F.lit(1)).alias("n_epochs"),
+        F.min("start_sec").alias("first_start_sec"),
+        F.max("start_sec").alias("last_start_sec"),
+        (F.max("epoch_idx") + 1 - F.count("epoch_idx")).alias("missing"),
+        F.count_if("_wrong").alias("misplaced"),
+    )
+
+
 def write_table(rows: DataFrame, path: str) -> DataFrame:
     """Store a table, replacing what the folder held, and return it."""
     rows.write.mode("overwrite").parquet(path)

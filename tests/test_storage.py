@@ -182,3 +182,14 @@ def test_mart_tables_have_the_declared_columns(spark, raw_folder):
         declared = {f.name: f.dataType for f in TABLES[name].fields}
         stored = {f.name: f.dataType for f in table.schema.fields if f.name != BLOCK}
         assert stored == declared
+
+
+def test_layout_counts_faults(spark, tmp_path):
+    rows = [(r, k, k * 30, 30, "W") for r in range(20) for k in range(6)]
+    stored = storage.write_epochs(spark.createDataFrame(rows, EPOCHS), str(tmp_path / "good"), buckets=4)
+    good = storage.layout(stored, 4)
+    assert good.filter("missing <> 0 OR misplaced <> 0 OR n_epochs <> 6").isEmpty() and good.count() == 20
+    assert not storage.layout(stored, 3).filter("misplaced > 0").isEmpty()
+    bad = [(1, 0, 0, 30, "W"), (1, 2, 60, 30, "W"), (2, 0, 30, 30, "W")]
+    found = storage.layout(storage.write_epochs(spark.createDataFrame(bad, EPOCHS), str(tmp_path / "bad"), buckets=4), 4)
+    assert {r.rec_id: (r.missing, r.misplaced) for r in found.collect()} == {1: (1, 0), 2: (0, 1)}
