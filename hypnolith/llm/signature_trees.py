@@ -42,7 +42,7 @@ SLICES = 64
 FANOUT = 8
 # Roots of one least component make a family, or several of so many members; their
 # members are searched together, because most roots of two components repeat the same pairs.
-FAMILY_ROWS = 1 << 16
+FAMILY_ROWS = 1 << 13
 MOST_ROWS = 1 << 17
 LEAST_BITS, MOST_BITS = 64, 4096
 
