@@ -25,6 +25,7 @@ MAX_EPOCHS = 3
 SEED = "mix-1"
 # Digest digits of a bucket: 4,096 buckets per source.
 BUCKET_DIGITS = 3
+SALTS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -133,9 +134,21 @@ def shares(sizes: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS)
     )
 
 
-def repetitions(share_key: str = "_key") -> Column:
+def with_share(rows: DataFrame, share: DataFrame, source: str) -> DataFrame:
+    """Rows (with ``_key``) joined with their source's share.
+
+    A source with very many documents is dealt over ``SALTS`` groups by the digest; the
+    shares, one row per source, are repeated for them.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.hash("_key"), F.lit(SALTS)))
+    copies = share.withColumn("_share_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col(source).eqNullSafe(F.col("share_source")) & (F.col("_salt") == F.col("_share_salt"))
+    return salted.join(copies, same, "left")
+
+
+def repetitions() -> Column:
     """How often a document joined with its source's share is taken."""
-    return F.col("whole") + F.when(F.col(share_key) <= F.col("cut"), 1).otherwise(0)
+    return F.col("whole") + F.when(F.col("_key") <= F.col("cut"), 1).otherwise(0)
 
 
 def mix(docs: DataFrame, seed: str = SEED, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -147,7 +160,7 @@ def mix(docs: DataFrame, seed: str = SEED, weigh=cyclic_weights, max_epochs: int
     """
     sizes = stored(sized(docs, seed), "mix")
     share = shares(sizes, weigh, max_epochs)
-    return sizes.join(share, F.col("source").eqNullSafe(F.col("share_source")), "left").select(
+    return with_share(sizes, share, "source").select(
         "doc_id",
         "size",
         "source_size",
@@ -167,7 +180,7 @@ def mixed_documents(
         F.col("source").cast("string").alias("_source"),
         order_key(F.col("doc_id"), seed).alias("_key"),
     )
-    joined = rows.join(share, F.col("_source").eqNullSafe(F.col("share_source")), "left")
+    joined = with_share(rows, share, "_source")
     times = F.sequence(F.lit(1), repetitions())
     return joined.filter(repetitions() > 0).select("_row", F.explode(times).alias("_copy")).select("_row.*")
 
