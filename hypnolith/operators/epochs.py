@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hypnolith.functions.keys import (
@@ -18,6 +18,8 @@ from hypnolith.operators.annotations import stage_annotations, with_first_onset
 from hypnolith.schemas import EPOCH_SEC, EPOCHS, STAGES
 
 _UNKNOWN_CODE = len(STAGES) - 1
+#: Epochs per run, by level.
+RUN_EPOCHS = (1, 64, 4096)
 
 
 def _start_cells(annotations: DataFrame) -> DataFrame:
@@ -110,6 +112,29 @@ def _hashed_on_blocks(pieces: DataFrame, partitions: int | None) -> DataFrame:
     return pieces.repartition(count, "rec_id", BLOCK)
 
 
+def _between(first: Column, end: Column, level: int) -> Column:
+    """Numbers of the runs first .. end - 1 of a level, each as number * 4 + level."""
+    numbers = F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+    return F.transform(numbers, lambda n: n * 4 + level)
+
+
+def _runs(first: str, end: str) -> Column:
+    """The epochs first .. end - 1 as the longest aligned runs of RUN_EPOCHS that fill them.
+
+    However long, a stretch becomes some 300 runs at most: single epochs at its ends,
+    then runs of 64, then of 4,096.
+    """
+    a, b, parts = F.col(first), F.col(end), []
+    for level in range(len(RUN_EPOCHS) - 1):
+        step = RUN_EPOCHS[level + 1] // RUN_EPOCHS[level]
+        up, down = F.ceil(a / step), F.floor(b / step)
+        whole = up < down
+        parts.append(_between(a, F.when(whole, up * step).otherwise(b), level))
+        parts.append(_between(F.when(whole, down * step).otherwise(b), b, level))
+        a, b = F.when(whole, up).otherwise(F.lit(0)), F.when(whole, down).otherwise(F.lit(0))
+    return F.concat(*parts, _between(a, b, len(RUN_EPOCHS) - 1))
+
+
 def build_epochs(
     annotations: DataFrame,
     block_epochs: int = EPOCH_BLOCK,
@@ -118,11 +143,12 @@ def build_epochs(
 ) -> DataFrame:
     """Dense epochs 0..n-1 per recording; the last annotation touching an epoch labels it.
 
-    Shuffles stay at annotation size. Each interval spells out its own epochs
-    and, as UNKNOWN of lowest rank, the ones from there to the next start, so
-    every epoch appears. Intervals are cut at block edges and hashed on (rec_id,
-    block) first; turning them into epochs and keeping the highest rank of each
-    epoch then happens inside the task. ``partitions`` (the session's shuffle
+    Shuffles stay at annotation size. Each interval covers its own epochs and, as
+    UNKNOWN of lowest rank, the ones from there to the next start, so every epoch
+    appears. Intervals are cut at block edges and hashed on (rec_id, block) first; the
+    rest happens inside the task: intervals become aligned runs of epochs, the highest
+    rank of each run is kept, and only then runs are spelled out. Many long intervals
+    over the same epochs so cost their number and that of the epochs, not the product. ``partitions`` (the session's shuffle
     partitions unless given) should be sized for the epochs, not the annotations.
     """
     filled_to = F.greatest("end_epoch", "next_epoch")
@@ -142,15 +168,27 @@ def build_epochs(
         "code",
     )
     order = Window.partitionBy("rec_id", BLOCK).orderBy("onset", "ann_seq")
-    ranked = F.when(
-        F.col("epoch_idx") < F.col("end_epoch"), F.col("rank") * 8 + F.col("code")
-    ).otherwise(F.lit(_UNKNOWN_CODE))
-    epochs = (
+    # A piece is its label's stretch and, up to the next start, a stretch of UNKNOWN.
+    after, end = F.col("last_epoch") + 1, F.greatest("first_epoch", F.least("end_epoch", F.col("last_epoch") + 1))
+    stretches = F.array(
+        F.struct(F.col("first_epoch").alias("a"), end.alias("b"), (F.col("rank") * 8 + F.col("code")).alias("ranked")),
+        F.struct(end.alias("a"), after.alias("b"), F.lit(_UNKNOWN_CODE).cast("long").alias("ranked")),
+    )
+    covered = (
         _hashed_on_blocks(pieces, partitions)
         .withColumn("rank", F.row_number().over(order).cast("long"))
-        .withColumn("epoch_idx", F.explode(F.sequence("first_epoch", "last_epoch")))
+        .select("rec_id", BLOCK, F.inline(stretches))
+        .filter("a < b")
+        .select("rec_id", BLOCK, F.explode(_runs("a", "b")).alias("run"), "ranked")
+        .groupBy("rec_id", BLOCK, "run")
+        .agg(F.max("ranked").alias("ranked"))
+    )
+    length = F.element_at(F.array(*[F.lit(n) for n in RUN_EPOCHS]), (F.col("run") % 4 + 1).cast("int"))
+    start = F.floor(F.col("run") / 4) * length
+    epochs = (
+        covered.withColumn("epoch_idx", F.explode(F.sequence(start, start + length - 1)))
         .groupBy("rec_id", BLOCK, "epoch_idx")
-        .agg(F.max(ranked).alias("ranked"))
+        .agg(F.max("ranked").alias("ranked"))
         .select(
             "rec_id",
             "epoch_idx",

@@ -15,6 +15,7 @@ from hypnolith.operators.annotations import (
     recording_span,
     stage_annotations,
 )
+from hypnolith.operators import epochs as epochs_module
 from hypnolith.operators.epochs import build_epochs, default_duration, replace_epochs
 from hypnolith.schemas import ANNOTATIONS, EPOCHS
 
@@ -161,3 +162,21 @@ def test_replace_epochs_is_idempotent(spark, block):
 def test_default_duration(spark):
     rows = spark.createDataFrame([(1, None), (2, 20)], "rec_id long, duration_sec int")
     assert {r.rec_id: r.duration_sec for r in default_duration(rows).collect()} == {1: 30, 2: 20}
+
+
+def test_nested_intervals_cost_their_number_and_the_epochs(spark):
+    """3,000 intervals inside each other: runs, not every interval's every epoch."""
+    n = 3000
+    rows = spark.range(n).selectExpr(
+        "1L AS rec_id", "id AS ann_seq", "cast(id * 30 AS double) AS onset",
+        f"cast(({2 * n} - 2 * id) * 30 AS double) AS duration",
+        "CASE WHEN id % 2 = 0 THEN 'Sleep stage 1' ELSE 'Sleep stage 2' END AS description",
+    )
+    stretch = spark.range(1).selectExpr("5L AS a", f"{2 * n}L AS b").select(epochs_module._runs("a", "b").alias("r"))
+    runs = stretch.first().r
+    held = [e for r in runs for e in range((r // 4) * 64 ** (r % 4), (r // 4 + 1) * 64 ** (r % 4))]
+    assert sorted(held) == list(range(5, 2 * n)) and len(runs) < 320
+    found = [r.stage_label for r in build_epochs(rows).orderBy("epoch_idx").collect()]
+    # Interval i covers i .. 2n - i - 1; the last one that touches an epoch labels it.
+    wanted = ["N1" if min(e, 2 * n - 1 - e, n - 1) % 2 == 0 else "N2" for e in range(2 * n)]
+    assert found == wanted
