@@ -22,6 +22,7 @@ def bi_nights(counts: DataFrame, labels: DataFrame) -> DataFrame:
     passed = (
         (tst >= MIN_TST_H) & (efficiency >= MIN_EFFICIENCY) & (unknown <= MAX_UNKNOWN_PCT)
     )
+    # The wording of the reasons.
     reason = (
         F.when(tst < MIN_TST_H, "fail: TST < 6h")
         .when(efficiency < MIN_EFFICIENCY, "fail: efficiency < 0.80")

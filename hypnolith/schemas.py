@@ -83,7 +83,7 @@ FOREIGN_KEYS = (
     ("notes", "rec_id", "recordings"),
 )
 
-# Domain rules as SQL conditions; a row breaks a rule when it is FALSE (not NULL).
+# Domain rules as SQL conditions; a row breaks a rule when it is FALSE (not NULL).
 DOMAIN_RULES = {
     "patients": {
         "age": "age BETWEEN 17 AND 100",

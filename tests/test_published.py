@@ -14,7 +14,7 @@ from hypnolith.operators.exports import bi_nights, kpi_cards, night_detail
 from hypnolith.operators.nights import SUMMARY_COLUMNS, sleep_summary
 from hypnolith.operators.sequences import fragmentation
 
-# rec_id, code, minutes in W, N1, N2, N3, REM, UNKNOWN
+# Fixed values, as published: rec_id, code, minutes in W, N1, N2, N3, REM, UNKNOWN
 STAGE_MINUTES = [
     (1, "SC4001", 34.0, 29.0, 125.0, 110.0, 62.5, 0.0),
     (2, "SC4002", 31.5, 29.5, 186.5, 148.5, 107.5, 0.5),
@@ -26,7 +26,7 @@ STAGE_MINUTES = [
     (8, "SC4032", 8.0, 22.5, 200.0, 65.5, 99.5, 0.0),
     (9, "SC4041", 40.0, 83.0, 310.0, 26.5, 98.0, 0.5),
 ]
-# rec_id -> in_bed_min, in_bed_h, tst_min, tst_h, wake_min, rem_min, N2_N3_min,
+# Fixed values, as published: rec_id -> in_bed_min, in_bed_h, tst_min, tst_h, wake_min, rem_min, N2_N3_min,
 #           sleep%, unknown%, rem%, N2_N3%, wake%, efficiency
 METRICS = {
     1: (360.5, 6.01, 326.5, 5.44, 34.0, 62.5, 235.0, 90.6, 0.0, 19.1, 72.0, 10.4, 0.906),
