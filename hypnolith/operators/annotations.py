@@ -115,3 +115,31 @@ def recording_span(rebased: DataFrame) -> DataFrame:
         .filter(F.col("span_sec") > 0)
         .withColumn("n_epochs", F.ceil(F.col("span_sec") / float(EPOCH_SEC)))
     )
+
+
+def span_of_annotations(annotations: DataFrame) -> DataFrame:
+    """``recording_span`` of annotations as they come, by one aggregate per recording.
+
+    A filled-in duration ends at the next onset, so none but the last annotation's can
+    reach the end of the recording; all others that can have a duration of their own.
+    """
+    own_end = F.when(F.col("duration") > 0, F.struct((F.col("onset") + F.col("duration")).alias("end"), "onset", "duration"))
+    whole = (
+        stage_annotations(annotations)
+        .groupBy("rec_id")
+        .agg(
+            F.min("onset").alias("first"),
+            F.max(F.struct("onset", "ann_seq", "duration")).alias("last"),
+            F.max(own_end).alias("longest"),
+        )
+    )
+    last = F.when(F.col("last.duration") > 0, F.col("last.duration")).otherwise(F.lit(float(EPOCH_SEC)))
+    end = F.greatest(
+        (F.col("last.onset") - F.col("first")) + last,
+        (F.col("longest.onset") - F.col("first")) + F.col("longest.duration"),
+    )
+    return (
+        whole.select("rec_id", F.ceil(end).alias("span_sec"))
+        .filter("span_sec > 0")
+        .withColumn("n_epochs", F.ceil(F.col("span_sec") / float(EPOCH_SEC)))
+    )

@@ -93,11 +93,10 @@ def _(raw):
 
 @_on_raw("ingest_skips")
 def _(raw):
-    timed = annotations.timed_annotations(derived.unstaged(raw.annotations))
     return loads.ingest_skips(
         raw.recordings,
         derived.found_hypnograms(raw.recordings),
-        annotations.recording_span(timed),
+        annotations.span_of_annotations(derived.unstaged(raw.annotations)),
     )
 
 
@@ -131,7 +130,7 @@ def _(raw):
 
 @_on_raw("recording_span")
 def _(raw):
-    return annotations.recording_span(annotations.timed_annotations(raw.annotations))
+    return annotations.span_of_annotations(raw.annotations)
 
 
 @_on_raw("map_stage")

@@ -9,13 +9,14 @@ from brute import epochs as brute_epochs
 from brute import timed as brute_timed
 
 from hypnolith.functions.keys import BLOCK
+from hypnolith.operators import epochs as epochs_module
 from hypnolith.operators.annotations import (
     infer_durations,
     rebase_onsets,
     recording_span,
+    span_of_annotations,
     stage_annotations,
 )
-from hypnolith.operators import epochs as epochs_module
 from hypnolith.operators.epochs import build_epochs, default_duration, replace_epochs
 from hypnolith.schemas import ANNOTATIONS, EPOCHS
 
@@ -115,6 +116,9 @@ def test_durations_and_spans(spark, slices_sec):
             (row.ann_seq, row.onset, row.duration, row.description)
         )
     spans = {row.rec_id: row.n_epochs for row in recording_span(shifted).collect()}
+    raw = span_of_annotations(_annotations(spark, recordings))
+    assert raw._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+    assert {row.rec_id: row.n_epochs for row in raw.collect()} == spans
     for rec, rows in recordings.items():
         expected = brute_timed(rows)
         assert sorted(found.get(rec, [])) == sorted(expected)
