@@ -26,6 +26,8 @@ SEED = "mix-1"
 # Digest digits of a bucket: 4,096 buckets per source.
 BUCKET_DIGITS = 3
 SALTS = 64
+# Some 10 MB of shares.
+BROADCAST_SOURCES = 1 << 17
 
 
 def n_words(text: Column) -> Column:
@@ -137,13 +139,17 @@ def shares(sizes: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS)
 def with_share(rows: DataFrame, share: DataFrame, source: str) -> DataFrame:
     """Rows (with ``_key``) joined with their source's share.
 
-    A source with very many documents is dealt over ``SALTS`` groups by the digest; the
-    shares, one row per source, are repeated for them.
+    Shares are one row per source. They are counted, and sent to all executors if they
+    are few. Else a source with very many documents is dealt over ``SALTS`` groups by
+    the digest, and the shares are repeated for those.
     """
+    share = stored(share, "mix-shares")
+    same = F.col(source).eqNullSafe(F.col("share_source"))
+    if share.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(share), same, "left")
     salted = rows.withColumn("_salt", F.pmod(F.hash("_key"), F.lit(SALTS)))
     copies = share.withColumn("_share_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = F.col(source).eqNullSafe(F.col("share_source")) & (F.col("_salt") == F.col("_share_salt"))
-    return salted.join(copies, same, "left")
+    return salted.join(copies, same & (F.col("_salt") == F.col("_share_salt")), "left")
 
 
 def repetitions() -> Column:

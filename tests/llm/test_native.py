@@ -153,7 +153,7 @@ def test_targets_equal_rounds_of_resharing(spark, sizes):
     assert [found[f"s{k}"] for k in range(len(sizes))] == pytest.approx(wanted)
 
 
-def test_mix_meets_targets(crafted_docs, edge_docs, no_docs):
+def test_mix_meets_targets(crafted_docs, edge_docs, no_docs, monkeypatch):
     docs = crafted_docs.unionByName(crafted_docs.withColumn("doc_id", crafted_docs.doc_id + 1000))
     rows = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
     for source in {r.source for r in rows}:
@@ -162,6 +162,9 @@ def test_mix_meets_targets(crafted_docs, edge_docs, no_docs):
         assert all(r.taken <= 3 * r.size and r.taken % max(1, r.size) == 0 for r in own)
     again = mixing.mix(docs.repartition(7)).collect()
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in rows)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    salted = mixing.mix(docs).collect()
+    assert sorted((r.doc_id, r.taken) for r in salted) == sorted((r.doc_id, r.taken) for r in rows)
     taken = mixing.mixed_documents(docs)
     assert taken.columns == docs.columns
     assert sum(len(words(r.text)) for r in taken.collect()) == sum(r.taken for r in rows)
