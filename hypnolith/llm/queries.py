@@ -33,7 +33,8 @@ def vocabulary() -> str:
 @_query("op1_url_filters")
 def _(spark, folder):
     pages = read_table(spark, folder, "pages")
-    return url_filters.filter_urls(url_filters.captures_of(pages), url_filters.entries_of(pages))
+    found = url_filters.filter_urls(url_filters.captures_of(pages), url_filters.entries_of(pages))
+    return found.withColumn("fetched", found.fetched.cast("string"))
 
 
 ORACLES["op1_url_filters"] = url_filters.ORACLE

@@ -175,7 +175,7 @@ x AS (SELECT h.page_id, h.host, h.fetched, g.pattern, g.s, row_number() OVER (
     AND DATE '2024-01-01' + CAST(g.day AS INTEGER) <= h.fetched),
 b AS (SELECT page_id, pattern, s, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC) AS k
   FROM x WHERE recent = 1 AND s > 1)
-SELECT h.page_id, h.host, h.fetched, b.pattern AS entry,
+SELECT h.page_id, h.host, CAST(h.fetched AS VARCHAR) AS fetched, b.pattern AS entry,
   CASE b.s WHEN 3 THEN 'block' WHEN 2 THEN 'allow' END AS verdict, coalesce(b.s, 0) <> 3 AS kept
 FROM h LEFT JOIN b ON h.page_id = b.page_id AND b.k = 1
 """
