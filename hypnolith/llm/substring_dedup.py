@@ -15,6 +15,9 @@ others' windows are compared by (key, digest of the words), 128 bits.
 
 Documents whose words are all equal are settled by a digest of the whole first, so
 that groups of copies do not take part.
+
+Rows are told apart by (doc_id, row): where rows with different texts share a doc_id, or
+have none, ``row`` is a 64-bit digest of the text; elsewhere it is 0, which takes no room.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hypnolith.llm.tables import LAST_ID, ordered_id, rows_with_ids, stored, with_batches
+from hypnolith.llm.tables import BROADCAST_IDS, LAST_ID, ordered_id, rows_with_ids, stored, with_batches
 from hypnolith.llm.words import Words, mixed, run_hashes, signed, steps, whole_hashes
 
 WINDOW = 50
@@ -173,19 +176,20 @@ def _parsed(window: int, rounds: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(row, end - row),
+                        batch.column("row").slice(row, end - row),
                         pa.array(words.counts.astype(np.int64)),
                         pa.array(signed(whole)),
                         pa.array(signed(again)),
                         pa.array(shas, pa.string()),
                         keys,
                     ],
-                    names=["doc_id", "n_words", "whole", "again", "sha", "keys"],
+                    names=["doc_id", "row", "n_words", "whole", "again", "sha", "keys"],
                 )
 
     return run
 
 
-PARSED = "doc_id long, n_words long, whole long, again long, sha string, keys array<long>"
+PARSED = "doc_id long, row long, n_words long, whole long, again long, sha string, keys array<long>"
 
 
 def _windows(window: int, rounds: int):
@@ -210,9 +214,10 @@ def _windows(window: int, rounds: int):
                         pa.array(signed(key)),
                         pa.array(signed(digest)),
                         pa.array(ids[row:end][text]),
+                        batch.column("row").slice(row, end - row).take(pa.array(text)),
                         pa.array((at - words.first[text]).astype(np.int32)),
                     ],
-                    names=["key", "digest", "doc_id", "at"],
+                    names=["key", "digest", "doc_id", "row", "at"],
                 )
 
     return run
@@ -241,28 +246,48 @@ def _kept(window: int):
                 removed.append(int(gone.sum()))
                 texts.append(b" ".join([words[k] for k in np.flatnonzero(~gone)]).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_removed", "kept_text"],
+                [batch.column("doc_id"), batch.column("row"), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
+                names=["doc_id", "row", "n_removed", "kept_text"],
             )
 
     return run
 
 
+def _told_apart(rows: DataFrame, several: DataFrame, digest: Column) -> DataFrame:
+    """``rows`` with ``row``: the digest where the doc_id is missing or among ``several``, else 0."""
+    few = several.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    several = several.withColumn("_several", F.lit(True))
+    marked = rows.join(F.broadcast(several) if few else several, "doc_id", "left")
+    differ = F.coalesce(F.col("_several"), F.col("doc_id") == LAST_ID)
+    return marked.withColumn("row", F.when(differ, digest).otherwise(F.lit(0).cast("long"))).drop("_several")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     A word goes if a window of ``window`` words around it starts in a document with a
     smaller doc_id as well; windows are judged on the input. ``kept_text`` holds the
     kept words joined by one space and is null where nothing was removed. Null and
-    empty texts have no words. Rows that share a doc_id do not remove from each other
-    and are taken as parts of one document: what is removed is the same in each of
-    them if their texts are equal. Rows without doc_id come after all others. Other
-    columns are ignored; an empty table gives an empty result.
+    empty texts have no words. Every row is cut by itself; rows that share a doc_id do
+    not remove from each other. Rows without doc_id come after all others and do not
+    remove from each other either. Other columns are ignored; an empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
     with_batches(spark)
     texts = docs.select(ordered_id(docs).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parsed = stored(texts.mapInArrow(_parsed(window, rounds), PARSED), "substring-parsed")
+    every = texts.withColumn("row", F.xxhash64("text"))
+    parsed = stored(every.mapInArrow(_parsed(window, rounds), PARSED), "substring-parsed")
+    several = stored(
+        parsed.filter(F.col("doc_id") != LAST_ID)
+        .groupBy("doc_id")
+        .agg(F.min("row").alias("low"), F.max("row").alias("high"))
+        .filter("low <> high")
+        .select("doc_id"),
+        "substring-several",
+    )
+    parsed = _told_apart(parsed, several, F.col("row"))
+    texts = _told_apart(texts, several, F.xxhash64("text"))
     first = (
         parsed.filter(F.col("n_words") >= window)
         .groupBy(F.col("whole").alias("w"), F.col("again").alias("a"))
@@ -270,24 +295,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     )
     classed = stored(
         parsed.join(first, (F.col("whole") == F.col("w")) & (F.col("again") == F.col("a")), "left").select(
-            "doc_id", "n_words", "sha", (F.col("first_id") < F.col("doc_id")).alias("copy")
+            "doc_id", "row", "n_words", "sha", (F.col("first_id") < F.col("doc_id")).alias("copy")
         ),
         "substring-classes",
     )
     # Only one document of each class of equal ones takes part from here on.
-    copies = stored(classed.filter("copy").select("doc_id").distinct(), "substring-copies")
-    keyed = rows_with_ids(parsed.select("doc_id", "keys"), copies, "left_anti")
-    keyed = keyed.select("doc_id", F.explode("keys").alias("key"))
+    copies = stored(classed.filter("copy").select("doc_id", "row").distinct(), "substring-copies")
+    keyed = rows_with_ids(parsed.select("doc_id", "row", "keys"), copies, "left_anti")
+    keyed = keyed.select("doc_id", "row", F.explode("keys").alias("key"))
     shared = (
         keyed.groupBy("key")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low <> high")
         .select("key")
     )
-    wanted = keyed.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared"))
-    suspects = stored(texts.join(wanted, "doc_id"), "substring-suspects")
+    wanted = keyed.join(shared, "key").groupBy("doc_id", "row").agg(F.collect_set("key").alias("shared"))
+    suspects = stored(texts.join(wanted, ["doc_id", "row"]), "substring-suspects")
     windows = stored(
-        suspects.mapInArrow(_windows(window, rounds), "key long, digest long, doc_id long, at int"),
+        suspects.mapInArrow(_windows(window, rounds), "key long, digest long, doc_id long, row long, at int"),
         "substring-windows",
     )
     origin = (
@@ -299,20 +324,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     starts = (
         windows.join(origin, ["key", "digest"])
         .filter("low < doc_id")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "row")
         .agg(F.collect_set("at").alias("starts"))
     )
     cut = (
-        suspects.select("doc_id", "text")
-        .join(starts, "doc_id")
-        .mapInArrow(_kept(window), "doc_id long, n_removed long, kept_text string")
-        .groupBy("doc_id")
+        suspects.select("doc_id", "row", "text")
+        .join(starts, ["doc_id", "row"])
+        .mapInArrow(_kept(window), "doc_id long, row long, n_removed long, kept_text string")
+        .groupBy("doc_id", "row")
         .agg(F.max(F.struct("n_removed", "kept_text")).alias("_cut"))
-        .withColumnRenamed("doc_id", "cut_id")
+        .withColumnsRenamed({"doc_id": "cut_id", "row": "cut_row"})
     )
     copy = F.coalesce(F.col("copy"), F.lit(False))
     text = F.when(copy, F.lit("")).otherwise(F.col("_cut.kept_text"))
-    return classed.join(cut, F.col("doc_id") == F.col("cut_id"), "left").select(
+    return classed.join(cut, (F.col("doc_id") == F.col("cut_id")) & (F.col("row") == F.col("cut_row")), "left").select(
         F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"),
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("_cut.n_removed", F.lit(0))).alias("n_removed"),

@@ -29,13 +29,13 @@ def ordered_id(docs: DataFrame) -> Column:
 
 
 def rows_with_ids(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows whose doc_id is (or with ``left_anti``, is not) among the distinct ``ids``.
+    """Rows whose doc_id (all columns of ``ids``) is, or with ``left_anti`` is not, among the distinct ``ids``.
 
     Few ids are broadcast, after they have been counted, so that the rows stay where
     they are.
     """
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id", how)
+    return rows.join(F.broadcast(ids) if few else ids, ids.columns, how)
 
 
 def with_batches(spark: SparkSession) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import zlib
@@ -59,6 +60,32 @@ def test_repeats_edges(spark, edge_docs, no_docs):
     assert substring_dedup.remove_repeats(no_docs).isEmpty()
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """Each row without an id, or with the id of another text, is cut by itself."""
+    rng = random.Random(21)
+    prose = lambda n: [f"p{rng.randrange(5000)}" for _ in range(n)]
+    passage, origin, copied = prose(60), prose(70), prose(80)
+    rows = [(1, prose(10) + passage + prose(10)), (2, copied), (9, prose(7) + passage), (9, prose(4))]
+    rows += [(None, prose(n) + passage + prose(k)) for n, k in ((3, 0), (90, 5), (40, 200))]
+    rows += [(None, prose(12)), (None, prose(300)), (None, copied), (None, []), (7, copied), (7, origin), (8, prose(5) + origin)]
+    docs = [(d, " ".join(w)) for d, w in rows]
+    ordered = [(LAST_ID if d is None else d, t) for d, t in docs]
+    first = {}
+    for d, t in ordered:
+        for k in range(len(t.split()) - 49):
+            run = tuple(t.split()[k : k + 50])
+            first[run] = min(first.get(run, d), d)
+    wanted = []
+    for d, t in ordered:
+        w = t.split()
+        gone = {x for k in range(len(w) - 49) if first[tuple(w[k : k + 50])] < d for x in range(k, k + 50)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        wanted.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    found = substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((LAST_ID if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == sorted(wanted)
+    assert sum(r.n_removed > 0 for r in found) == 7
+
+
 def test_symbols_of_equal_windows_agree():
     rng = np.random.RandomState(3)
     middle = rng.randint(0, 9, 60).astype(np.uint64)
