@@ -46,7 +46,7 @@ FAMILY_ROWS = 1 << 13
 MOST_ROWS = 1 << 17
 LEAST_BITS, MOST_BITS = 64, 4096
 
-SETS = "doc_id long, n_shingles long, digest binary, prefix array<long>, bitmap binary"
+SETS = "doc_id long, missing boolean, n_shingles long, digest binary, prefix array<long>, bitmap binary"
 
 
 def overlap_needed(total):
@@ -137,12 +137,13 @@ def _describe(ranks, size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, end - row),
+                        batch.column("missing").slice(row, end - row),
                         pa.array(out["n"], pa.int64()),
                         pa.array(out["digest"], pa.binary()),
                         pa.array(out["prefix"], pa.list_(pa.int64())),
                         pa.array(out["bitmap"], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "prefix", "bitmap"],
+                    names=["doc_id", "missing", "n_shingles", "digest", "prefix", "bitmap"],
                 )
 
     return run
@@ -350,23 +351,32 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     A-Z count as a-z. A text with fewer than ``size`` words is one shingle; null and
     blank texts have none and link with nothing, their component is their own id.
     Rows that share a doc_id are one node of the graph. Rows without doc_id come
-    last, each for itself; their component is null unless they are linked with a
-    document that has an id.
+    last, each for itself (inside, a 64-bit digest of the text is their node); their
+    component is null unless they are linked with a document that has an id.
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     with_batches(spark)
     texts = docs.select(
-        ordered_id(docs).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    ).select(
+        F.coalesce("doc_id", F.xxhash64("text")).alias("doc_id"), "text", F.col("doc_id").isNull().alias("missing")
     )
     ranks = spark.sparkContext.broadcast(cell_ranks(texts, size))
     sets = stored(texts.mapInArrow(_describe(ranks, size), SETS), "jaccard-described")
 
     filled = sets.filter("n_shingles > 0")
-    least = filled.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
+    known = F.min(F.when(~F.col("missing"), F.col("doc_id")))
+    least = filled.groupBy("digest").agg(
+        F.coalesce(known, F.min("doc_id")).alias("class_id"), known.isNull().alias("nameless")
+    )
     members = stored(
-        sets.select("doc_id", "n_shingles", "digest").join(least, "digest", "left").select(
-            "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).alias("class_id")
+        sets.select("doc_id", "missing", "n_shingles", "digest").join(least, "digest", "left").select(
+            "doc_id",
+            "missing",
+            "n_shingles",
+            F.when(F.col("n_shingles") > 0, F.col("class_id")).alias("class_id"),
+            F.coalesce("nameless", "missing").alias("nameless"),
         ),
         "jaccard-members",
     )
@@ -437,13 +447,17 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
     twice = members.join(repeated.filter("lo <> hi").select("doc_id"), "doc_id").filter("class_id IS NOT NULL")
     links = first.unionByName(second).unionByName(twice.select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")))
-    final = components(links).withColumnRenamed("component", "found")
+    final = stored(components(links), "jaccard-final")
+    # A component has the name of its least document with an id, if any.
+    nameless = members.filter("nameless").select(F.coalesce("class_id", "doc_id").alias("node")).distinct()
+    named = final.join(nameless, "node", "left_anti").groupBy("component").agg(F.min("node").alias("found"))
+    final = final.join(named, "component", "left").select("node", "found")
     whole = members.join(final, F.coalesce("class_id", "doc_id") == F.col("node"), "left")
-    known = lambda c: F.when(c != LAST_ID, c)
+    own = F.when(~F.col("nameless"), F.coalesce("class_id", "doc_id"))
     return whole.select(
-        known(F.col("doc_id")).alias("doc_id"),
+        F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"),
         "n_shingles",
-        known(F.coalesce("found", "class_id", "doc_id")).alias("component_id"),
+        F.coalesce("found", own).alias("component_id"),
     )
 
 

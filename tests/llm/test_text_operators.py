@@ -138,6 +138,19 @@ def test_jaccard_edges(edge_docs, no_docs):
     assert signature_trees.jaccard_components(no_docs).isEmpty()
 
 
+def test_jaccard_rows_without_id_join_nothing_else(spark):
+    """Two rows without id, each near another document, are no link between these."""
+    rng = random.Random(31)
+    one, two, three, four = ([f"r{rng.randrange(9000)}" for _ in range(120)] for _ in range(4))
+    rows = [(1, one), (2, two), (None, one + ["x"]), (None, two + ["y"]), (None, three), (None, three + ["z"]), (None, four), (None, [])]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = sorted((r.n_shingles, r.doc_id or 0, r.component_id or 0) for r in signature_trees.jaccard_components(docs).collect())
+    assert found == sorted(
+        [(116, 1, 1), (116, 2, 2), (117, 0, 1), (117, 0, 2), (116, 0, 0), (117, 0, 0), (116, 0, 0), (0, 0, 0)]
+    )
+    assert {r.doc_id for r in signature_trees.one_of_each(docs).collect()} == {1, 2, None}
+
+
 def test_one_of_each(edge_docs, no_docs):
     kept = signature_trees.one_of_each(edge_docs)
     assert kept.schema.simpleString() == edge_docs.schema.simpleString()
