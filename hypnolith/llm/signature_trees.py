@@ -18,6 +18,9 @@ A document's set is that of its distinct word shingles; two documents link when
 
 Level one of a tree is by size: a member goes to its size class and, as a partner
 only, to the next, so that the members of a frequent shingle are spread over tasks.
+Roots of more than ``BLOCK_ROWS`` members are searched as pairs of blocks, one pair a
+task: the root's largest component has blocks of its own, which are not paired with
+each other, and all other members meet all blocks.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hypnolith.llm.components import components
@@ -44,6 +47,8 @@ FANOUT = 8
 # members are searched together, because most roots of two components repeat the same pairs.
 FAMILY_ROWS = 1 << 13
 MOST_ROWS = 1 << 17
+# Members of a larger root are dealt into blocks of so many; a task sees two blocks.
+BLOCK_ROWS = 1 << 15
 LEAST_BITS, MOST_BITS = 64, 4096
 
 SETS = "doc_id long, missing boolean, n_shingles long, digest binary, prefix array<long>, bitmap binary"
@@ -155,9 +160,10 @@ def _describe(ranks, size: int):
 class _Level:
     """Nodes of one level of many trees: ranges over members, least to most."""
 
-    def __init__(self, tree, bits, low, high, excess, comp_low, comp_high, partner, first):
+    def __init__(self, tree, bits, low, high, excess, comp_low, comp_high, partner, side_low, side_high, first):
         self.tree, self.bits, self.low, self.high = tree, bits, low, high
         self.excess, self.comp_low, self.comp_high, self.partner = excess, comp_low, comp_high, partner
+        self.side_low, self.side_high = side_low, side_high  # block of a pair of two, else -1
         self.first = first  # first child in the level below, and one more for the end
 
     def above(self) -> _Level:
@@ -176,6 +182,8 @@ class _Level:
             np.minimum.reduceat(self.comp_low, first),
             np.maximum.reduceat(self.comp_high, first),
             np.minimum.reduceat(self.partner, first),
+            np.minimum.reduceat(self.side_low, first),
+            np.maximum.reduceat(self.side_high, first),
             np.append(first, len(self.tree)),
         )
 
@@ -185,6 +193,8 @@ class _Level:
         fits &= (self.partner[a] == 0) | (self.partner[b] == 0)
         one = (self.comp_low[a] == self.comp_high[a]) & (self.comp_low[b] == self.comp_high[b])
         fits &= ~(one & (self.comp_low[a] == self.comp_low[b]))
+        one = (self.side_low[a] == self.side_high[a]) & (self.side_low[b] == self.side_high[b])
+        fits &= ~(one & (self.side_low[a] == self.side_low[b]) & (self.side_low[a] >= 0))
         at = np.flatnonzero(fits)
         x, y = a[at], b[at]
         common = np.bitwise_count(self.bits[x] & self.bits[y]).sum(axis=1, dtype=np.int64)
@@ -193,13 +203,14 @@ class _Level:
         return fits
 
 
-def tree_pairs(tree, bits, size, excess, comp, partner, step: int = 1 << 15):
+def tree_pairs(tree, bits, size, excess, comp, partner, step: int = 1 << 15, side=None):
     """Pairs of members of one tree that their signatures allow to link, in pieces.
 
     Members are in order of tree; all trees are descended at once, at most ``step``
-    node pairs at a time.
+    node pairs at a time. Members of one ``side`` from 0 on are not paired.
     """
-    levels = [_Level(tree, bits, size, size, excess, comp, comp, partner, None)]
+    side = np.full(len(tree), -1) if side is None else side
+    levels = [_Level(tree, bits, size, size, excess, comp, comp, partner, side, side, None)]
     while len(levels[-1].tree) > len(np.unique(levels[-1].tree)):
         levels.append(levels[-1].above())
     roots = np.arange(len(levels[-1].tree))
@@ -234,27 +245,27 @@ def _folded(bitmaps: list[bytes], width: int) -> np.ndarray:
 
 
 def _tree_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members sorted by (family, root, size class) -> candidate pairs, once per family."""
+    """Members sorted by (family, root, block pair, size class) -> candidate pairs, once per family."""
     held: list[pa.RecordBatch] = []
 
     def search(table: pa.Table) -> Iterator[pa.RecordBatch]:
         column = lambda name: table.column(name).to_numpy()
-        roots, sizes = column("root"), column("size_class")
+        roots, sizes, blocks = column("root"), column("size_class"), column("block")
         change = np.ones(len(roots), bool)
-        change[1:] = (roots[1:] != roots[:-1]) | (sizes[1:] != sizes[:-1])
+        change[1:] = (roots[1:] != roots[:-1]) | (sizes[1:] != sizes[:-1]) | (blocks[1:] != blocks[:-1])
         tree = np.cumsum(change) - 1
         bitmaps = table.column("bitmap").to_pylist()
         lengths = np.array([len(x) for x in bitmaps], np.int64)
         # A tree's bitmaps have the width of its shortest; trees of one width go together.
         width = np.minimum.reduceat(lengths, np.flatnonzero(change))[tree]
         n = column("n_shingles")
-        comp, partner, ids = column("comp"), column("partner"), column("class_id")
+        comp, partner, ids, side = column("comp"), column("partner"), column("class_id"), column("side")
         found = [np.zeros((0, 2), np.int64)]
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
             bits = _folded([bitmaps[k] for k in at], int(w))
             hidden = n[at] - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-            for a, b in tree_pairs(tree[at], bits, n[at], np.maximum(hidden, 0), comp[at], partner[at]):
+            for a, b in tree_pairs(tree[at], bits, n[at], np.maximum(hidden, 0), comp[at], partner[at], side=side[at]):
                 x, y = ids[at][a], ids[at][b]
                 found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y])
                 if len(found) > 100:
@@ -311,6 +322,38 @@ def with_room(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return both.mapInArrow(_room, "a long, b long")
 
 
+def _in_blocks(labelled: DataFrame, several: DataFrame, block_rows: int) -> DataFrame:
+    """``several`` with each root's largest component and how many blocks it and the rest have."""
+    large = several.filter(F.col("rows") > block_rows).select("root")
+    if large.isEmpty():
+        return several.select("*", F.lit(None).cast("long").alias("main"), F.lit(1).alias("rest"), F.lit(0).alias("whole"))
+    counts = labelled.join(large, "root").groupBy("root", "comp").agg(F.count("*").alias("n"))
+    main = counts.groupBy("root").agg(F.max(F.struct("n", "comp")).alias("_main"), F.sum("n").alias("_all"))
+    blocks = lambda n: F.ceil(n / block_rows).cast("int")
+    shares = main.select(
+        "root",
+        F.col("_main.comp").alias("main"),
+        blocks(F.col("_all") - F.col("_main.n")).alias("rest"),
+        blocks(F.col("_main.n")).alias("whole"),
+    )
+    return several.join(shares, "root", "left").fillna({"rest": 1, "whole": 0})
+
+
+def _block_pairs() -> Column:
+    """(block pair, side) of every pair of blocks that a member is in; blocks of ``main`` follow the others."""
+    is_main = F.col("comp").eqNullSafe(F.col("main"))
+    deal = lambda n: F.pmod(F.xxhash64("class_id"), F.greatest(n, F.lit(1))).cast("int")
+    block = F.when(is_main, F.col("rest") + deal(F.col("whole"))).otherwise(deal(F.col("rest")))
+    last = F.when(is_main, F.col("rest") - 1).otherwise(F.col("rest") + F.col("whole") - 1)
+    return F.transform(
+        F.sequence(F.lit(0), last),
+        lambda other: F.struct(
+            (F.least(block, other).cast("long") * (1 << 20) + F.greatest(block, other)).alias("block"),
+            F.when(other == block, -1).when(block < other, 0).otherwise(1).alias("side"),
+        ),
+    )
+
+
 # --- verification --------------------------------------------------------------------
 
 
@@ -345,7 +388,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     )
 
 
-def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = SHINGLE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
 
     A-Z count as a-z. A text with fewer than ``size`` words is one shingle; null and
@@ -421,22 +464,28 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
     several = stored(several.select("root", "lo", "rows"), "jaccard-open-roots")
     parts = several.groupBy("lo").agg(F.ceil(F.sum("rows") / FAMILY_ROWS).alias("parts"))
-    families = several.join(parts, "lo").select(
-        "root", F.xxhash64("lo", F.pmod(F.xxhash64("root"), F.col("parts"))).alias("family")
+    families = _in_blocks(labelled, several, block_rows).join(parts, "lo").select(
+        "root", "lo", F.pmod(F.xxhash64("root"), F.col("parts")).alias("part"), "main", "rest", "whole"
     )
     open_ = labelled.join(families, "root")
     size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
     member = (
         open_.join(signatures, "class_id")
-        .select("family", "root", "class_id", "comp", "n_shingles", "bitmap", size_class.alias("_own"))
+        .select(
+            "lo", "part", "root", "class_id", "comp", "n_shingles", "bitmap", size_class.alias("_own"),
+            F.explode(_block_pairs()).alias("_in"),
+        )
         .withColumn("_place", F.explode(F.array(*[
             F.struct((F.col("_own") + k).alias("size_class"), F.lit(k).alias("partner")) for k in (0, 1)
         ])))
-        .select("family", "root", "_place.size_class", "_place.partner", "class_id", "comp", "n_shingles", "bitmap")
+        .select(
+            F.xxhash64("lo", "part", "_in.block").alias("family"), "root", "_in.block", "_in.side",
+            "_place.size_class", "_place.partner", "class_id", "comp", "n_shingles", "bitmap",
+        )
     )
     candidates = (
         member.repartition("family", "size_class")
-        .sortWithinPartitions("family", "root", "size_class", "comp", "n_shingles", "class_id")
+        .sortWithinPartitions("family", "root", "block", "size_class", "comp", "n_shingles", "class_id")
         .mapInArrow(_tree_candidates, "a long, b long")
         .distinct()
     )

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute_llm import lower, words
+from pyspark.sql import functions as F
 
 from hypnolith.llm import class_lm, decontamination, line_dedup, signature_trees, substring_dedup, token_files
 from hypnolith.llm.components import components
@@ -138,6 +139,29 @@ def test_jaccard_edges(edge_docs, no_docs):
     assert signature_trees.jaccard_components(no_docs).isEmpty()
 
 
+def test_jaccard_in_blocks(spark, crafted, crafted_docs):
+    """Roots of more than a few members are split: no task's tree holds a whole one, no link is lost."""
+    rows = signature_trees.jaccard_components(crafted_docs, block_rows=3).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_llm.jaccard_components(crafted)
+
+
+def test_block_pairs_meet_once(spark):
+    """Members of the largest component meet all others, and others each other, in one block pair each."""
+    members = [(7, k, 1 if k < 60 else k) for k in range(75)]
+    labelled = spark.createDataFrame(members, "root long, class_id long, comp long")
+    several = spark.createDataFrame([(7, 1, 75)], "root long, lo long, rows long")
+    split = labelled.join(signature_trees._in_blocks(labelled, several, 6), "root")
+    found = split.select("class_id", F.inline(signature_trees._block_pairs())).collect()
+    blocks = {}
+    for r in found:
+        blocks.setdefault(r.block, []).append((r.class_id, r.side))
+    meet = Counter()
+    for held in blocks.values():
+        assert len(held) < 40
+        meet.update((a, b) for a, x in held for b, y in held if a < b and (x != y or x < 0))
+    assert meet == Counter({(a, b): 1 for a in range(75) for b in range(a + 1, 75) if b >= 60})
+
+
 def test_jaccard_rows_without_id_join_nothing_else(spark):
     """Two rows without id, each near another document, are no link between these."""
     rng = random.Random(31)
