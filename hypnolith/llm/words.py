@@ -3,10 +3,15 @@
 A word is a maximal run of bytes other than space and \\x09-\\x0D (in UTF-8 those
 bytes occur only as themselves). Words never cross a row. Hashes are 64-bit and
 depend on the bytes alone, so every task, executor and rerun gives the same ones.
+Sequences of any length are hashed by chains and trees of a scrambling step, which no
+pattern of the input cancels out (a polynomial modulo 2 ** 64 gives equal values for
+Thue-Morse patterns); only windows of fixed, small size use a polynomial over scrambled
+word hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +27,15 @@ NOT_ALNUM = np.arange(256) < 128
 NOT_ALNUM[[*range(48, 58), *range(97, 123)]] = False
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
-_BYTE_CODES = np.random.RandomState(20240229).randint(
-    0, 1 << 32, (256, 2), dtype=np.uint64
-) @ np.array([1 << 32, 1], np.uint64)
+_SEEDS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xA0761D6478BD642F))
+# Words of more bytes are hashed one by one: the chain below would take a step per 8 bytes.
+_LONG_WORD = 512
 
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
+_FACTOR64 = np.uint64(_FACTOR)
+_STEP = np.uint64(0x9FB21C651E98DF25)
+_CHUNK_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -54,6 +62,33 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
     return h
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of every span: a scrambled chain over its 8-byte chunks."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    chunks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = ends - starts
+    left = size.copy()
+    value = mixed(size.astype(np.uint64) + _SEEDS[seed])
+    open_, at = np.flatnonzero(size <= _LONG_WORD), starts.copy()
+    if len(open_) == len(size):
+        open_ = slice(None)
+    while True:
+        here = left[open_]
+        chunk = chunks[at[open_]] & _CHUNK_MASK[np.minimum(here, 8)]
+        value[open_] = mixed((value[open_] ^ chunk) * _STEP + _SEEDS[1 - seed])
+        left[open_] = here - 8
+        open_ = np.flatnonzero(left > 0) if isinstance(open_, slice) else open_[here > 8]
+        open_ = open_[size[open_] <= _LONG_WORD]
+        if not len(open_):
+            break
+        at[open_] += 8
+    for k in np.flatnonzero(size > _LONG_WORD):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8, salt=bytes([seed]))
+        value[k] = int.from_bytes(digest.digest(), "little")
+    return value
+
+
 class Words:
     """The words of some texts: byte spans and, per text, the range of its words."""
 
@@ -87,13 +122,9 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(self.texts), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hash of every word."""
-        n = len(self.data)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODES[self.data] * powers(_FACTOR, n), out=total[1:])
-        raw = total[self.ends] - total[self.starts]
-        return mixed(raw * powers(_INVERSE, max(n, 1))[self.starts])
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """64-bit hash of every word; those of seeds 0 and 1 are independent of each other."""
+        return span_hashes(self.data, self.starts, self.ends, seed)
 
     def spans(self, size: int) -> np.ndarray:
         """First word of every run of ``size`` consecutive words of one text."""
@@ -116,12 +147,32 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def whole_hashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hash of each text's whole word sequence (0 words: of the empty sequence)."""
-    n = len(hashes)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * powers(_FACTOR, n), out=total[1:])
-    raw = (total[first[1:]] - total[first[:-1]]) * powers(_INVERSE, n + 1)[first[:-1]]
-    return mixed(raw + np.diff(first).astype(np.uint64))
+    """Hash of each text's whole word sequence (0 words: of the empty sequence).
+
+    Neighbours are combined level by level until one value is left, a tree whose shape
+    depends on the number of words alone.
+    """
+    size = np.diff(first)
+    out = mixed(size.astype(np.uint64) + _SEEDS[0])
+    texts = np.flatnonzero(size)
+    begin, count, level = first[:-1][texts], size[texts], hashes
+    while len(texts):
+        done = count == 1
+        out[texts[done]] = mixed(out[texts[done]] ^ level[begin[done]] * _STEP)
+        texts, begin, count = texts[~done], begin[~done], count[~done]
+        if not len(texts):
+            break
+        half = count >> 1
+        nodes = half + (count & 1)
+        new = np.cumsum(nodes) - nodes
+        owner = np.repeat(np.arange(len(texts)), nodes)
+        k = np.arange(int(nodes.sum())) - new[owner]
+        left = begin[owner] + 2 * k
+        paired = k < half[owner]
+        right = np.where(paired, level[np.where(paired, left + 1, left)], np.uint64(0))
+        level = mixed((level[left] * _FACTOR64) ^ mixed(right + _SEEDS[1]))
+        begin, count = new, nodes
+    return out
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
