@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, quality_rules, signature_trees, substring_dedup, token_files, url_filters
+from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, periodic_runs, quality_rules, signature_trees, substring_dedup, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,9 @@ def _(spark, folder):
 @_query("op10_jaccard_trees")
 def _(spark, folder):
     return signature_trees.jaccard_components(read_table(spark, folder, "documents"))
+
+
+@_query("op11_periodic_runs")
+def _(spark, folder):
+    docs = periodic_runs.with_planted_runs(read_table(spark, folder, "documents"))
+    return periodic_runs.report(periodic_runs.collapse_runs(docs, texts=False))
