@@ -26,12 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypnolith.llm.tables import LAST_ID, ordered_id, stored, with_batches
-from hypnolith.llm.words import Words, mixed, powers, signed, steps
+from hypnolith.llm.words import ModularSums, Words, mixed, signed, steps
 
 LEAST_WORDS = 8
 
-_FACTOR = 0x9E3779B97F4A7C15
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
 _OTHER = np.uint64(0xA0761D6478BD642F)
 
 
@@ -50,29 +48,15 @@ class _Lines:
         self.first = np.flatnonzero(begins)
         self.size = np.diff(np.append(self.first, len(text)))
         self.text, self.number = text[self.first], number[self.first]
-        hashes = words.hashes()
-        self.sums = [_prefix_sums(hashes), _prefix_sums(mixed(hashes ^ _OTHER))]
+        self.sums = [ModularSums(words.hashes(which), which) for which in (0, 1)]
 
     def digest(self, which: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Digest of words begin .. begin + size - 1."""
-        total = self.sums[which]
-        raw = total[begin + size] - total[begin]
-        return mixed(raw * powers(_INVERSE, len(total))[begin] + size.astype(np.uint64))
+        return self.sums[which].digest(begin, size)
 
     def without(self, which: int, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Digest of a line without its word ``at``: the same as that of those words in a row."""
-        total = self.sums[which]
-        scale = powers(_INVERSE, len(total) + 1)
-        head = total[first + at] - total[first]
-        tail = total[first + size] - total[first + at + 1]
-        raw = head * scale[first] + tail * scale[first + 1]
-        return mixed(raw + (size - 1).astype(np.uint64))
-
-
-def _prefix_sums(hashes: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * powers(_FACTOR, len(hashes)), out=total[1:])
-    return total
+        return self.sums[which].without(first, size, at)
 
 
 LINES = "doc_id long, line int, n_words int, h1 long, h2 long, halves array<long>"

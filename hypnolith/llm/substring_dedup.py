@@ -133,7 +133,8 @@ def window_keys(words: Words, hashes: np.ndarray, window: int, rounds: int):
     """(first word, key, digest) of every window."""
     at = words.spans(window)
     digest = run_hashes(hashes, window)[at]
-    key = digest.copy()
+    # A window without a phrase has a second digest, independent of the first, as its key.
+    key = run_hashes(words.hashes(1), window)[at]
     symbols = Symbols.of_words(hashes, words.text_of)
     for number in range(rounds):
         symbols = symbols.runs_replaced().pairs_merged(number)
@@ -172,7 +173,7 @@ def _parsed(window: int, rounds: int):
                           for a, b in zip(words.first[:-1], words.first[1:])]
                 shas = [hashlib.sha256(b" ".join(data[a:b].split())).hexdigest() for a, b in bounds]
                 whole = whole_hashes(hashes, words.first)
-                again = whole_hashes(mixed(hashes ^ _RIGHT), words.first)
+                again = whole_hashes(words.hashes(1), words.first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(row, end - row),

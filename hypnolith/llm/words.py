@@ -175,6 +175,68 @@ def whole_hashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+PRIME = (1 << 61) - 1
+_BASES = (0x1B873593CC9E2D51 % PRIME, 0x0F4A5C3D27D4EB4F % PRIME)
+_P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_S30, _S31, _S61, _TWO = np.uint64(30), np.uint64(31), np.uint64(61), np.uint64(2)
+
+
+def reduced(values: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit values modulo 2^61 - 1."""
+    values = (values & _P) + (values >> _S61)
+    return np.where(values >= _P, values - _P, values)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2^61 - 1, both below it."""
+    ah, al, bh, bl = a >> _S31, a & _LOW31, b >> _S31, b & _LOW31
+    middle = al * bh + ah * bl
+    return reduced(ah * bh * _TWO + (middle >> _S30) + ((middle & _LOW30) << _S31) + reduced(al * bl))
+
+
+class ModularSums:
+    """Digests of word ranges of any length, and of a range without one of its words.
+
+    Polynomials of the word hashes modulo the prime 2^61 - 1. Unlike those modulo a power
+    of two they give no input pattern an equal value at every base.
+    """
+
+    _powers: dict[int, np.ndarray] = {}
+
+    def __init__(self, hashes: np.ndarray, which: int):
+        self.base = _BASES[which]
+        terms = product(reduced(hashes), self._power(self.base, len(hashes))[: len(hashes)])
+        total = np.zeros((2, len(hashes) + 1), np.uint64)
+        np.cumsum(terms >> _S31, out=total[0, 1:])
+        np.cumsum(terms & _LOW31, out=total[1, 1:])
+        high = reduced(total[0])
+        self.total = reduced(product(high, np.full(len(high), 1 << 31, np.uint64)) + reduced(total[1]))
+
+    def _power(self, base: int, count: int) -> np.ndarray:
+        table = self._powers.get(base, np.ones(1, np.uint64))
+        while len(table) < count:
+            step = np.uint64(pow(base, len(table), PRIME))
+            table = np.concatenate([table, product(table, np.full(len(table), step))])
+        if len(table) <= 4 * STEP_BYTES:
+            self._powers[base] = table
+        return table
+
+    def _range(self, begin: np.ndarray, end: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """Terms of words begin .. end - 1, moved ``shift`` places forward."""
+        back = self._power(pow(self.base, -1, PRIME), len(self.total))
+        return product(reduced(self.total[end] + (_P - self.total[begin])), back[shift])
+
+    def digest(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Digest of words begin .. begin + size - 1."""
+        return mixed(self._range(begin, begin + size, begin) + mixed(size.astype(np.uint64)))
+
+    def without(self, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Digest of size words without word ``at``: the same as that of those words in a row."""
+        head = self._range(first, first + at, first)
+        tail = self._range(first + at + 1, first + size, first + 1)
+        return mixed(reduced(head + tail) + mixed((size - 1).astype(np.uint64)))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, bounds) of a string column; null is an empty text."""
     if column.null_count:

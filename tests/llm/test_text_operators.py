@@ -19,7 +19,7 @@ from hypnolith.llm import class_lm, decontamination, line_dedup, signature_trees
 from hypnolith.llm.components import components
 from hypnolith.llm.queries import vocabulary
 from hypnolith.llm.tables import LAST_ID
-from hypnolith.llm.words import NOT_ALNUM, run_hashes, steps
+from hypnolith.llm.words import NOT_ALNUM, PRIME, ModularSums, product, run_hashes, steps, whole_hashes
 
 
 def test_words_are_runs_of_other_bytes(edge_docs):
@@ -40,6 +40,58 @@ def test_hash_does_not_depend_on_place():
     assert run_hashes(one[1:3], 2)[0] == run_hashes(two[1:3], 2)[0]
 
 
+def _thue_morse(size: int, zero: str, one: str) -> list[str]:
+    return [one if bin(k).count("1") % 2 else zero for k in range(size)]
+
+
+def test_patterns_do_not_cancel_in_hashes():
+    """Words and texts in Thue-Morse order, which any polynomial modulo 2^64 maps to one value."""
+    for size in (1024, 4096):
+        one, two = _thue_morse(size, "alpha", "beta"), _thue_morse(size, "beta", "alpha")
+        lines = ["".join(_thue_morse(size, "a", "b")), "".join(_thue_morse(size, "b", "a")), " ".join(one), " ".join(two)]
+        (_, _, found), = steps(pa.array(lines))
+        for which in (0, 1):
+            hashes = found.hashes(which)
+            assert len(set(hashes.tolist())) == 4 and len(set(whole_hashes(hashes, found.first).tolist())) == 4
+            sums = ModularSums(hashes, which)
+            assert len(set(sums.digest(found.first[:-1], found.counts).tolist())) == 4
+
+
+def test_range_digests_do_not_depend_on_place():
+    rng = random.Random(12)
+    line = [rng.choice("abcdef") for _ in range(40)]
+    (_, _, one), = steps(pa.array(["x y z", " ".join(line)]))
+    (_, _, two), = steps(pa.array([" ".join(["q"] * 500 + line)]))
+    for which in (0, 1):
+        a, b = (ModularSums(w.hashes(which), which) for w in (one, two))
+        size = np.arange(1, 41)
+        assert (a.digest(np.full(40, 3), size) == b.digest(np.full(40, 500), size)).all()
+        at = np.arange(40)
+        (_, _, cut), = steps(pa.array([" ".join(line[:k] + line[k + 1 :]) for k in at]))
+        whole = ModularSums(cut.hashes(which), which).digest(cut.first[:-1], cut.counts)
+        assert (a.without(np.full(40, 3), np.full(40, 40), at) == whole).all()
+    terms = [(rng.getrandbits(61) % PRIME, rng.getrandbits(61) % PRIME) for _ in range(500)] + [(PRIME - 1, PRIME - 1)]
+    a, b = np.array(terms, np.uint64).T
+    assert product(a, b).tolist() == [x * y % PRIME for x, y in terms]
+
+
+def test_swapped_patterns_are_different_texts(spark):
+    one, two = _thue_morse(4096, "alpha", "beta"), _thue_morse(4096, "beta", "alpha")
+    letters = ["".join(_thue_morse(4096, *pair)) for pair in ("ab", "ba")]
+    docs = spark.createDataFrame(
+        [(1, " ".join(one)), (2, " ".join(two)), (3, letters[0]), (4, letters[1])], "doc_id long, text string"
+    )
+    lines = {r.doc_id: (r.n_equal, r.n_near) for r in line_dedup.repeated_lines(docs).collect()}
+    assert set(lines.values()) == {(0, 0)}
+    groups = {r.doc_id: r.component_id for r in signature_trees.jaccard_components(docs.filter("doc_id > 2")).collect()}
+    assert groups == {3: 3, 4: 4}
+    texts = [(d, " ".join(one if d == 1 else two)) for d in (1, 2)]
+    cut = substring_dedup.remove_repeats(docs.filter("doc_id < 3")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in cut} == brute_llm.remove_repeats(texts)
+    scores = {r.doc_id: r.n_known for r in class_lm.score_documents(docs.filter("doc_id > 2")).collect()}
+    assert sum(scores.values()) == sum(v[2] for v in brute_llm.base_scores([(3, letters[0]), (4, letters[1])]).values())
+
+
 # --- substring dedup ----------------------------------------------------------------
 
 
