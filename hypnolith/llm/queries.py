@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, periodic_runs, quality_rules, signature_trees, substring_dedup, token_files, url_filters
+from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, periodic_runs, quality_rules, signature_trees, substring_dedup, token_alignment, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +23,11 @@ def _query(name: str):
     return register
 
 
-def vocabulary() -> str:
-    """Vocabulary file of the token output; the same path on every executor."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file (unless named, of the token output); the same path on every executor."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @_query("op1_url_filters")
@@ -101,3 +101,9 @@ def _(spark, folder):
 def _(spark, folder):
     docs = periodic_runs.with_planted_runs(read_table(spark, folder, "documents"))
     return periodic_runs.report(periodic_runs.collapse_runs(docs, texts=False))
+
+
+@_query("op12_token_alignment")
+def _(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    return token_alignment.align(docs, vocabulary(), vocabulary("piece_bpe_32k.model"))
