@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.llm import class_lm, decontamination, license_scan, line_dedup, mixing, periodic_runs, quality_rules, signature_trees, substring_dedup, token_alignment, token_files, url_filters
+from hypnolith.llm import chat_format, class_lm, decontamination, license_scan, line_dedup, mixing, periodic_runs, quality_rules, signature_trees, substring_dedup, token_alignment, token_files, url_filters
 from hypnolith.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,12 @@ def _(spark, folder):
 def _(spark, folder):
     docs = read_table(spark, folder, "documents")
     return token_alignment.align(docs, vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+@_query("op13_chat_format")
+def _(spark, folder):
+    conversations = chat_format.with_control_conversation(read_table(spark, folder, "conversations"))
+    return chat_format.report(chat_format.format_conversations(conversations))
+
+
+ORACLES["op13_chat_format"] = chat_format.ORACLE
