@@ -456,8 +456,38 @@ def test_pieces_encode_like_whole_texts():
         "a  b", "a\n\nb c", "  lead", "tail  ", "x\t\ty\n z", "it's  don't", "\n", " ", "a \n b", "nul\0byte here",
         "é ü x", "\x1f\x1c a", "1234 56,78!! ??", "Ünï…cødé 🙂🙂 ok",
     ]
-    found = token_files.Encoder(vocabulary()).encode(texts + [None])
-    assert [x.tolist() for x in found] == _ids(texts + [None])
+    texts += ["wide　space", "　", "a b c", "x\x85y ", "<|endoftext|> in a text", "lone \x0b\x0c end"]
+    rng = random.Random(17)
+    texts += ["".join(rng.choice(["a", "é", " ", " ", "\n", "\t", "1", "!", "\xa0", "—"]) for _ in range(60)) for _ in range(300)]
+    encoder = token_files.Encoder(vocabulary())
+    for _ in range(2):
+        found = encoder.encode_column(pa.array([*texts, None], pa.string()))
+        assert [[*x.tolist(), token_files.END_ID] for x in found] == _ids([*texts, None])
+
+
+def test_encoder_survives_equal_digests(monkeypatch):
+    """Pieces whose first digests agree are told apart by the second, and the texts encoded whole."""
+    whole = token_files.span_hashes
+    monkeypatch.setattr(token_files, "span_hashes", lambda d, s, e, seed=0: whole(d, s, e, seed) if seed else whole(d, s, e) % np.uint64(7))
+    texts = [" ".join(f"w{k * j % 31}" for k in range(40)) for j in range(20)]
+    found = token_files.Encoder(vocabulary()).encode_column(pa.array(texts))
+    assert [[*x.tolist(), 0] for x in found] == _ids(texts)
+
+
+def test_special_strings_can_be_plain_text():
+    text = "a <|endoftext|> b"
+    special, plain = (token_files.Encoder(vocabulary(), p).encode_column(pa.array([text]))[0].tolist() for p in (False, True))
+    assert 50256 in special and 50256 not in plain
+
+
+def test_rows_of_one_id_are_split_over_parts(spark):
+    docs = spark.range(10_000).selectExpr("IF(id % 2 = 0, 7L, NULL) AS doc_id", "concat('text ', id) AS text")
+    blocks = token_files.write_token_files(docs, vocabulary(), parts=4, block_ids=1000)
+    parts = blocks.groupBy("part").sum("n_ids").collect()
+    assert len(parts) == 4 and max(r[1] for r in parts) < 2 * min(r[1] for r in parts)
+    rows = token_files.read_token_files(blocks).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None] * 5000 + [7] * 5000
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows]).tolist()[:-1]]
 
 
 def test_token_file_edges(edge_docs, no_docs):
