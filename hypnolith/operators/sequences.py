@@ -61,7 +61,7 @@ def previous_stages(epochs: DataFrame, block_epochs: int = EPOCH_BLOCK) -> DataF
 def stage_runs(rows: DataFrame) -> DataFrame:
     """Runs of equal stage over consecutive rows of a block.
 
-    ``rows`` carry their block. Output per run: stage_label, first_epoch,
+    ``rows`` carry their block. Output per run: stage_label, first_epoch, last_epoch,
     run_epochs, and whether it opens or closes its block.
     """
     order = _in_block()
@@ -93,12 +93,17 @@ def stage_runs(rows: DataFrame) -> DataFrame:
             "closes",
             F.when(F.col("ends"), F.col("is_last")).otherwise(F.lead("is_last").over(order)),
         )
+        .withColumn(
+            "last_epoch",
+            F.when(F.col("ends"), F.col("epoch_idx")).otherwise(F.lead("epoch_idx").over(order)),
+        )
         .filter("starts")
         .select(
             "rec_id",
             BLOCK,
             "stage_label",
             F.col("epoch_idx").alias("first_epoch"),
+            "last_epoch",
             (F.col("end_row") - F.col("row") + 1).cast("long").alias("run_epochs"),
             (F.col("row") == 1).alias("opens"),
             "closes",
@@ -193,7 +198,11 @@ def longest_bouts(
     epochs: DataFrame, codes: DataFrame, block_epochs: int = EPOCH_BLOCK
 ) -> DataFrame:
     """Longest uninterrupted N3, REM and single-stage sleep bout per night, in minutes."""
-    runs = stage_runs(in_bed_epochs(epochs, block_epochs))
+    return longest_bouts_of_runs(stage_runs(in_bed_epochs(epochs, block_epochs)), codes)
+
+
+def longest_bouts_of_runs(runs: DataFrame, codes: DataFrame) -> DataFrame:
+    """:func:`longest_bouts` from the runs inside the sleep window."""
     return _longest(_stitched_bouts(runs), codes)
 
 
@@ -213,7 +222,11 @@ def night_activity(
     A run that opens a block continues or follows the closing run of the block
     before; the two counts are corrected for that on one row per block.
     """
-    runs = stage_runs(in_bed_epochs(epochs, block_epochs))
+    return activity_of_runs(stage_runs(in_bed_epochs(epochs, block_epochs)), codes)
+
+
+def activity_of_runs(runs: DataFrame, codes: DataFrame) -> DataFrame:
+    """:func:`night_activity` from the runs inside the sleep window."""
     label = F.col("stage_label")
     before = F.lag("stage_label").over(_in_block("first_epoch"))
     per_block = (

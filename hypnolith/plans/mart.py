@@ -7,11 +7,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.operators import analysis, exports, nights, sequences
+from hypnolith.operators import analysis, exports, nights, runs, sequences
 from hypnolith.operators.epochs import build_epochs
 from hypnolith.session import apply_table_settings, working_folder
 from hypnolith.sources import derived
-from hypnolith.sources.storage import write_epochs, write_table
+from hypnolith.sources.blocks import write_block_index
+from hypnolith.sources.storage import write_bucketed, write_epochs, write_table
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class Mart:
     notes: DataFrame
     epochs: DataFrame
     buckets: int = 0  # of the stored epochs
+    root: str = ""  # folder of the stored tables
 
     @property
     def tables(self) -> dict[str, DataFrame]:
@@ -33,6 +35,25 @@ class Mart:
             "notes": self.notes,
         }
 
+    @cached_property
+    def block_index(self) -> DataFrame:
+        """Which files hold which recording; stored beside the epochs on first use."""
+        return write_block_index(self.epochs, f"{self.root}/block_index")
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        """Runs of equal stage, stored in the epochs' buckets on first use."""
+        stored = runs.runs_of_epochs(self.epochs)
+        return write_bucketed(stored, f"{self.root}/runs", "first_epoch", self.buckets, hashed=True)
+
+    @cached_property
+    def in_bed_runs(self) -> DataFrame:
+        return runs.in_bed_runs(self.runs)
+
+    @cached_property
+    def activity_of_runs(self) -> DataFrame:
+        return sequences.activity_of_runs(self.in_bed_runs, self.codes)
+
     @cached_property
     def labels(self) -> DataFrame:
         return nights.night_labels(self.recordings, self.patients, self.notes)
@@ -167,6 +188,7 @@ def load_mart(spark: SparkSession, folder: str) -> Mart:
             hashed=True,
         ),
         buckets=partitions,
+        root=root,
     )
     _stored[key] = (state, mart)
     return mart

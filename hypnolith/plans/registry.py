@@ -16,12 +16,14 @@ from hypnolith.operators import (
     loads,
     nights,
     quality,
+    runs,
     seeding,
     sequences,
 )
 from hypnolith.plans.mart import Mart, RawTables, load_mart
+from hypnolith.plans.slices import load_slices
 from hypnolith.session import working_folder
-from hypnolith.sources import derived, folder, storage
+from hypnolith.sources import blocks, derived, folder, storage, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -404,3 +406,81 @@ def _(mart):
 @_on_mart("night_detail")
 def _(mart):
     return exports.night_detail(mart.bi_nights)
+
+
+# --- stored beside the epochs: block index, runs, versions, slices ---------------------
+
+
+@_on_mart("recording_lookup")
+def _(mart):
+    index = mart.block_index
+    return blocks.recording_epochs(mart.epochs, index, blocks.longest_recording(index))
+
+
+@_on_mart("block_index")
+def _(mart):
+    return mart.block_index.drop("file_path", "file_size")
+
+
+@_on_mart("stage_counts_indexed")
+def _(mart):
+    return blocks.stage_epochs(mart.block_index, mart.epochs, f"{mart.root}/epochs")
+
+
+@_on_mart("stage_runs")
+def _(mart):
+    return mart.runs
+
+
+@_on_mart("window_counts_of_runs")
+def _(mart):
+    counts = runs.night_counts_of_runs(mart.in_bed_runs)
+    return mart.labels.select(*nights.NIGHT_KEYS).join(counts, "rec_id")
+
+
+@_on_mart("transitions_of_runs")
+def _(mart):
+    return sequences.stage_transitions(mart.activity_of_runs)
+
+
+@_on_mart("awakenings_of_runs")
+def _(mart):
+    return sequences.awakenings(mart.activity_of_runs)
+
+
+@_on_mart("longest_bouts_of_runs")
+def _(mart):
+    return sequences.longest_bouts_of_runs(mart.in_bed_runs, mart.codes)
+
+
+@_on_mart("fragmentation_of_runs")
+def _(mart):
+    return sequences.fragmentation(mart.activity_of_runs)
+
+
+@_on_mart("versioned_reload")
+def _(mart):
+    root = working_folder(mart.epochs.sparkSession, "versions")
+    table = versions.create_versioned(derived.epochs_old(mart.epochs), root, mart.buckets)
+    table.reload(mart.epochs.filter("rec_id % 2 = 0"))
+    return table.read().drop("epoch_block")
+
+
+def _on_slices(name: str):
+    """Register a query over a mart loaded in two slices or more."""
+
+    def register(build):
+        QUERIES[name] = lambda spark, path: build(load_slices(spark, path, least=2))
+        return build
+
+    return register
+
+
+@_on_slices("bi_nights_sliced")
+def _(sliced):
+    return sliced.each("bi_nights", lambda mart: mart.bi_nights)
+
+
+@_on_slices("fragmentation_sliced")
+def _(sliced):
+    return sliced.each("fragmentation", lambda mart: mart.fragmentation)

@@ -34,25 +34,69 @@ def write_epochs(
     ``hashed`` says that the rows already sit in tasks by (rec_id, epoch_block), as
     freshly built epochs do.
     """
-    spark = epochs.sparkSession
-    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if count > int(spark.conf.get(MOST_BUCKETS)):
-        spark.conf.set(MOST_BUCKETS, str(count))
-    table = f"hypnolith_epochs_{uuid.uuid4().hex}"
     rows = with_block(epochs, block_epochs).select(*EPOCHS.fieldNames(), BLOCK)
+    return write_bucketed(rows, path, "epoch_idx", buckets, hashed)
+
+
+def new_table_name() -> str:
+    return f"hypnolith_epochs_{uuid.uuid4().hex}"
+
+
+def write_bucketed(
+    rows: DataFrame,
+    path: str,
+    order: str,
+    buckets: int | None = None,
+    hashed: bool = False,
+    table: str | None = None,
+    mode: str = "overwrite",
+) -> DataFrame:
+    """Rows with rec_id and block, stored bucketed on both and sorted by them and ``order``.
+
+    With mode ``append`` they are added to ``table`` as further files of its buckets.
+    """
+    spark = rows.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _allow_buckets(spark, count)
+    table = table or new_table_name()
     if not hashed:
         rows = rows.repartition(count, "rec_id", BLOCK)
     (
         rows.write.format("parquet")
-        .mode("overwrite")
+        .mode(mode)
         .bucketBy(count, "rec_id", BLOCK)
-        .sortBy("rec_id", BLOCK, "epoch_idx")
+        .sortBy("rec_id", BLOCK, order)
         .option("path", path)
         .saveAsTable(table)
     )
     return spark.table(table)
 
 
+def _allow_buckets(spark: SparkSession, count: int) -> None:
+    if count > int(spark.conf.get(MOST_BUCKETS)):
+        spark.conf.set(MOST_BUCKETS, str(count))
+
+
+def open_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType, order: str, buckets: int, block_epochs: int = EPOCH_BLOCK
+) -> DataFrame:
+    """A bucketed table that an earlier application stored, under its layout."""
+    _allow_buckets(spark, buckets)
+    table = new_table_name()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (rec_id, {BLOCK}) "
+        f"SORTED BY (rec_id, {BLOCK}, {order}) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table).withMetadata(BLOCK, {"block_epochs": int(block_epochs)})
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write into the folder has been completed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def layout(epochs: DataFrame, buckets: int) -> DataFrame:
     """Per recording of an epochs table stored in ``buckets``: its extent, and what breaks the layout.
 
