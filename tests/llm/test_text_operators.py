@@ -326,14 +326,53 @@ def test_leak_edges(spark, edge_docs, no_docs):
         "item_id long, text string",
     ).selectExpr("item_id", "text", "'x' as doc_id")
     rows = decontamination.find_leaks(edge_docs, items).collect()
-    assert {(r.doc_id, r.item_id) for r in rows} == {(d, i) for d in (5, 6, 7, 8, 11, None) for i in (1, 7)}
+    near = {(d, i) for d in (5, 6, 7, 8, 11, None) for i in (1, 7)}
+    assert {(r.doc_id, r.item_id) for r in rows} == near | {(3, 4)}  # the text "one" has the item "one"
     kept = decontamination.without_leaks(edge_docs, items)
-    assert kept.schema == edge_docs.schema and kept.count() == edge_docs.count() - 7
+    assert kept.schema == edge_docs.schema and kept.count() == edge_docs.count() - 8
     assert decontamination.find_leaks(no_docs, items).isEmpty()
     assert decontamination.find_leaks(edge_docs, items.limit(0)).isEmpty()
     assert decontamination.without_leaks(edge_docs, items.limit(0)).count() == edge_docs.count()
 
 
+def test_short_items_are_found_as_they_are(spark):
+    rng = random.Random(14)
+    vocabulary = [f"s{k}" for k in range(12)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(1 + k % 7))) for k in range(40)]
+    docs = [(k, ", ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 60))).upper()) for k in range(80)]
+    found = {
+        (r.doc_id, r.item_id): (r.distance, r.end_word)
+        for r in decontamination.find_leaks(
+            spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+        ).collect()
+    }
+    wanted = {}
+    for d, text in docs:
+        tokens = text.lower().split(", ") if text else []
+        for i, item in items:
+            w = item.split()
+            ends = [k + len(w) for k in range(len(tokens) - len(w) + 1) if tokens[k : k + len(w)] == w]
+            if ends:
+                wanted[d, i] = (0, ends[0])
+    assert found == wanted and len(found) > 400
+
+
+def test_very_long_items_stay_small_in_memory(spark):
+    import resource
+
+    rng = random.Random(15)
+    item = [f"l{rng.randrange(50_000)}" for _ in range(20_000)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    made = decontamination.Items([(1, " ".join(item)), *[(k, " ".join(item[k * 9 : k * 9 + 60])) for k in range(2, 1200)]])
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
+    assert made.draws.nbytes < 450 * len(made.pair)
+    near = [w for k, w in enumerate(item) if k % 9]
+    docs = [(1, " ".join(["x"] * 50 + item + ["y"] * 50)), (2, " ".join(near)), (3, " ".join(item[:9000])), (4, "unlike this")]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.distance) for r in found} == {(1, 0), (2, len(item) - len(near))}
+
+
 # --- line dedup ---------------------------------------------------------------------
 
 
