@@ -11,7 +11,10 @@ A target is met by whole repetitions of all documents and one more repetition of
 the first documents in a seeded order, up to the words that are missing. Only one
 cut-off key per source is needed to decide that, so documents are not sorted or
 shuffled: the order's digest buckets are summed, and only the bucket with the
-cut-off is looked into.
+cut-off is looked into. The order is by a digest of id and text, so that rows without id
+and rows that repeat one are spread like all others. Rows equal in both share a key;
+if that is the cut-off, a stated number of them is taken, numbered in the parts they
+are stored in.
 """
 
 from __future__ import annotations
@@ -35,9 +38,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def order_key(doc_id: Column, seed: str = SEED) -> Column:
-    """Place of a document in the seeded order: a digest of seed and id."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def order_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """Place of a document in the seeded order: a digest of seed, id and text."""
+    of = [F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text.cast("string"), F.lit("")))]
+    return F.md5(F.concat(F.lit(f"{seed}:"), *of))
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -85,7 +89,7 @@ def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
     doc_id = F.col("doc_id")
     return docs.select(
         doc_id, F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-        order_key(doc_id, seed).alias("_key"),
+        order_key(doc_id, F.col("text"), seed).alias("_key"),
     )
 
 
@@ -94,6 +98,7 @@ def shares(sizes: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS)
 
     A document is taken ``whole`` times, and once more if its key is at most ``cut``:
     that is, if its middle word comes before the missing words in the seeded order.
+    Where only some of the rows with the key ``cut`` are, ``cut_rows`` says how many.
     """
     buckets = (
         sizes.groupBy("source", F.substring("_key", 1, BUCKET_DIGITS).alias("_bucket"))
@@ -119,25 +124,34 @@ def shares(sizes: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS)
         F.col("source").eqNullSafe(F.col("_edge_source"))
         & (F.substring("_key", 1, BUCKET_DIGITS) == F.col("_edge")),
     )
-    running = Window.partitionBy("source").orderBy("_key", "doc_id", "size")
-    middle = (
-        F.col("_before")
-        + F.sum("size").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("size") / 2
+    # Rows with one key are equal and have one size; they take part as one row.
+    alike = inside.groupBy("source", "_key", "_edge", "_before", "extra").agg(F.count("*").alias("_rows"), F.max("size").alias("_size"))
+    running = Window.partitionBy("source").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    missing = F.col("extra") - F.col("_before") - F.coalesce(F.sum(F.col("_size") * F.col("_rows")).over(running), F.lit(0))
+    # The k-th of them is taken if its middle, (k - 1/2) sizes on, comes before the missing words end.
+    some = F.when(F.col("_size") > 0, F.ceil(F.col("_missing") / F.col("_size") + 0.5) - 1).otherwise(
+        F.when(F.col("_missing") > 0, F.col("_rows")).otherwise(0)
     )
+    taken = F.least(F.col("_rows"), F.greatest(F.lit(0), some))
+    last = F.max(F.when(F.col("_taken") > 0, F.struct("_key", "_taken", "_rows")))
     cuts = (
-        inside.withColumn("_taken", middle < F.col("extra"))
+        alike.withColumn("_missing", missing)
+        .withColumn("_taken", taken)
         .groupBy("source")
-        .agg(F.coalesce(F.max(F.when(F.col("_taken"), F.col("_key"))), F.min("_edge")).alias("cut"))
-        .select(F.col("source").alias("_cut_source"), "cut")
+        .agg(last.alias("_last"), F.min("_edge").alias("_edge"))
+        .select(
+            F.col("source").alias("_cut_source"),
+            F.coalesce("_last._key", "_edge").alias("cut"),
+            F.when(F.col("_last._taken") < F.col("_last._rows"), F.col("_last._taken")).alias("cut_rows"),
+        )
     )
     return goals.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left").select(
-        F.col("source").alias("share_source"), "source_size", "weight", "target", "whole", "cut"
+        F.col("source").alias("share_source"), "source_size", "weight", "target", "whole", "cut", "cut_rows"
     )
 
 
 def with_share(rows: DataFrame, share: DataFrame, source: str) -> DataFrame:
-    """Rows (with ``_key``) joined with their source's share.
+    """Rows (with ``_key``) joined with their source's share, and ``times`` they are taken.
 
     Shares are one row per source. They are counted, and sent to all executors if they
     are few. Else a source with very many documents is dealt over ``SALTS`` groups by
@@ -146,23 +160,40 @@ def with_share(rows: DataFrame, share: DataFrame, source: str) -> DataFrame:
     share = stored(share, "mix-shares")
     same = F.col(source).eqNullSafe(F.col("share_source"))
     if share.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        return rows.join(F.broadcast(share), same, "left")
-    salted = rows.withColumn("_salt", F.pmod(F.hash("_key"), F.lit(SALTS)))
-    copies = share.withColumn("_share_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, same & (F.col("_salt") == F.col("_share_salt")), "left")
-
-
-def repetitions() -> Column:
-    """How often a document joined with its source's share is taken."""
-    return F.col("whole") + F.when(F.col("_key") <= F.col("cut"), 1).otherwise(0)
+        joined = rows.join(F.broadcast(share), same, "left")
+    else:
+        salted = rows.withColumn("_salt", F.pmod(F.hash("_key"), F.lit(SALTS)))
+        copies = share.withColumn("_share_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(copies, same & (F.col("_salt") == F.col("_share_salt")), "left")
+    more = lambda test: joined.withColumn("times", F.col("whole") + F.when(test, 1).otherwise(0))
+    if share.filter("cut_rows IS NOT NULL").isEmpty():
+        return more(F.col("_key") <= F.col("cut"))
+    at_cut = F.coalesce((F.col("_key") == F.col("cut")) & F.col("cut_rows").isNotNull(), F.lit(False))
+    # Equal rows at the cut are numbered in the parts they are written in, after the parts before.
+    tied = stored(joined.filter(at_cut).withColumn("_part", F.spark_partition_id()), "mix-tied")
+    parts = tied.groupBy("share_source", "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("share_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        F.col("share_source").alias("_of"), F.col("_part").alias("_number"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead")
+    )
+    inside = F.row_number().over(Window.partitionBy("share_source", "_part").orderBy("_key"))
+    placed = tied.withColumn("_row_number", inside).join(
+        parts, F.col("share_source").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_number"))
+    )
+    taken = F.col("_ahead") + F.col("_row_number") <= F.col("cut_rows")
+    tied = placed.withColumn("times", F.col("whole") + F.when(taken, 1).otherwise(0))
+    rest = more(F.col("_key") <= F.col("cut")).filter(~at_cut)
+    return rest.unionByName(tied.select(*rest.columns))
 
 
 def mix(docs: DataFrame, seed: str = SEED, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Per document: doc_id, size, source_size, target (its source's) and taken (words).
 
-    A null text has no words; null is a source of its own. Rows that repeat a doc_id
-    share its place in the seeded order and are taken alike. Sources without words
-    have target 0. No row is lost; an empty table gives an empty result.
+    A null text has no words; null is a source of its own. Rows without doc_id, and rows
+    that repeat one, are documents like all others; of rows equal in id, source and text
+    any may be the ones that are taken. A source is off its target by at most half of
+    one document. Sources without words have target 0. No row is lost; an empty table
+    gives an empty result.
     """
     sizes = stored(sized(docs, seed), "mix")
     share = shares(sizes, weigh, max_epochs)
@@ -171,7 +202,7 @@ def mix(docs: DataFrame, seed: str = SEED, weigh=cyclic_weights, max_epochs: int
         "size",
         "source_size",
         "target",
-        (F.col("size") * repetitions()).cast("long").alias("taken"),
+        (F.col("size") * F.col("times")).cast("long").alias("taken"),
     )
 
 
@@ -184,16 +215,15 @@ def mixed_documents(
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col("source").cast("string").alias("_source"),
-        order_key(F.col("doc_id"), seed).alias("_key"),
+        order_key(F.col("doc_id"), F.col("text"), seed).alias("_key"),
     )
-    joined = with_share(rows, share, "_source")
-    times = F.sequence(F.lit(1), repetitions())
-    return joined.filter(repetitions() > 0).select("_row", F.explode(times).alias("_copy")).select("_row.*")
+    joined = with_share(rows, share, "_source").filter("times > 0")
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy")).select("_row.*")
 
 
 ORACLE = r"""
 WITH s AS (
-  SELECT doc_id, source, md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS k,
+  SELECT doc_id, source, md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', md5(coalesce(text, '')))) AS k,
     CASE WHEN text IS NULL THEN 0 ELSE
       len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS size
   FROM documents),

@@ -172,3 +172,30 @@ def test_mix_meets_targets(crafted_docs, edge_docs, no_docs, monkeypatch):
     copies = mixing.mixed_documents(edge_docs)
     assert copies.schema == edge_docs.schema and copies.subtract(edge_docs).isEmpty()
     assert mixing.mix(no_docs).isEmpty() and mixing.mixed_documents(no_docs).isEmpty()
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "copies"])
+def test_mix_meets_targets_without_telling_ids(spark, ids):
+    """Rows without id, with one id, and equal rows: every source comes within half a document of its target."""
+    rows = []
+    for k in range(240):
+        words_ = 10 if ids == "copies" else 5 + k % 11
+        text = "same text " * 5 if ids == "copies" and k % 2 else " ".join(f"w{k}" for _ in range(words_))
+        source = None if k < 20 else f"s{sum(k >= edge for edge in (60, 120, 150))}"
+        rows.append((7 if ids == "one" else None, text, source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mix(docs).groupBy("target", "source_size").agg({"taken": "sum", "size": "max"}).collect()
+    assert len(found) == 5
+    for r in found:
+        assert abs(r["sum(taken)"] - r.target) <= r["max(size)"] / 2 + 1e-6
+    again = sorted(map(tuple, mixing.mix(docs.repartition(2)).collect()), key=repr)
+    assert again == sorted(map(tuple, mixing.mix(docs).collect()), key=repr)
+    copies = mixing.mixed_documents(docs)
+    assert copies.columns == docs.columns
+    assert sum(len(words(r.text)) for r in copies.collect()) == sum(r["sum(taken)"] for r in found)
+    duck = duckdb.connect()
+    duck.register("documents", docs.toPandas())
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    wanted = duck.sql(mixing.ORACLE).select(*columns).fetchall()
+    number = lambda v: None if v is None or v != v else float(v)
+    assert sorted(repr([number(v) for v in r]) for r in again) == sorted(repr([number(v) for v in r]) for r in wanted)
