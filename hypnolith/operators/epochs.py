@@ -151,8 +151,14 @@ def build_epochs(
     over the same epochs so cost their number and that of the epochs, not the product. ``partitions`` (the session's shuffle
     partitions unless given) should be sized for the epochs, not the annotations.
     """
+    epochs = epochs_of_pieces(epoch_pieces(annotations, block_epochs), block_epochs, partitions)
+    return epochs if keep_block else epochs.drop(BLOCK)
+
+
+def epoch_pieces(annotations: DataFrame, block_epochs: int = EPOCH_BLOCK) -> DataFrame:
+    """Intervals of epochs with their labels, cut at block edges: all that a block's epochs follow from."""
     filled_to = F.greatest("end_epoch", "next_epoch")
-    pieces = spread_over_blocks(
+    return spread_over_blocks(
         _intervals(annotations, block_epochs).withColumn("_last", filled_to - 1),
         "first_epoch",
         "_last",
@@ -167,6 +173,12 @@ def build_epochs(
         "ann_seq",
         "code",
     )
+
+
+def epochs_of_pieces(
+    pieces: DataFrame, block_epochs: int = EPOCH_BLOCK, partitions: int | None = None
+) -> DataFrame:
+    """The epochs (and their block) that pieces stand for; see :func:`build_epochs`."""
     order = Window.partitionBy("rec_id", BLOCK).orderBy("onset", "ann_seq")
     # A piece is its label's stretch and, up to the next start, a stretch of UNKNOWN.
     after, end = F.col("last_epoch") + 1, F.greatest("first_epoch", F.least("end_epoch", F.col("last_epoch") + 1))
@@ -185,7 +197,7 @@ def build_epochs(
     )
     length = F.element_at(F.array(*[F.lit(n) for n in RUN_EPOCHS]), (F.col("run") % 4 + 1).cast("int"))
     start = F.floor(F.col("run") / 4) * length
-    epochs = (
+    return (
         covered.withColumn("epoch_idx", F.explode(F.sequence(start, start + length - 1)))
         .groupBy("rec_id", BLOCK, "epoch_idx")
         .agg(F.max("ranked").alias("ranked"))
@@ -198,7 +210,6 @@ def build_epochs(
             as_block(F.col(BLOCK), block_epochs),
         )
     )
-    return epochs if keep_block else epochs.drop(BLOCK)
 
 
 def default_duration(epochs: DataFrame) -> DataFrame:

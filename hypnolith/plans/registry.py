@@ -21,6 +21,7 @@ from hypnolith.operators import (
     sequences,
 )
 from hypnolith.plans.mart import Mart, RawTables, load_mart
+from hypnolith.plans.refresh import first_load, refresh
 from hypnolith.plans.slices import load_slices
 from hypnolith.session import working_folder
 from hypnolith.sources import blocks, derived, folder, storage, versions
@@ -466,6 +467,17 @@ def _(mart):
     return table.read().drop("epoch_block")
 
 
+@_on_raw("refreshed_epochs")
+def _(raw):
+    # First a state in which a quarter of the recordings is missing and another one differs.
+    before = raw.annotations.filter("rec_id % 4 <> 1").withColumn(
+        "description", F.when(F.col("rec_id") % 4 == 0, "Sleep stage 1").otherwise(F.col("description"))
+    )
+    table, known = first_load(before, working_folder(raw.spark, "refreshed"), raw.epoch_partitions)
+    refresh(table, known, raw.annotations)
+    return table.read().drop("epoch_block")
+
+
 def _on_slices(name: str):
     """Register a query over a mart loaded in two slices or more."""
 

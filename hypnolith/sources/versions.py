@@ -63,17 +63,21 @@ class VersionedEpochs:
             current = F.coalesce(F.col("live.version"), F.lit(BASE))
         return rows.filter(F.col("version") == current).select(*EPOCHS.fieldNames(), BLOCK)
 
-    def reload(self, incoming: DataFrame) -> None:
-        """Replace the epochs of every recording in ``incoming``; others stay as they are."""
+    def reload(self, incoming: DataFrame, blocks: DataFrame | None = None) -> None:
+        """Replace the epochs of every recording in ``incoming``; others stay as they are.
+
+        With ``blocks`` (rec_id and block, distinct) just those are replaced: by their epochs in
+        ``incoming``, or by none.
+        """
         names = self._committed()
         version = uuid.uuid4().hex
         number = 1 + (int(names[-1].split("-")[0]) if names else 0)
         self._append(incoming, version, "append")
-        table = self.spark.table(self.table)
-        added = table.filter(F.col("version") == version).select("rec_id", BLOCK).distinct()
-        replaced = added.select("rec_id").distinct()
-        # One row per recording and block: those of before, and the new ones.
-        blocks = table.select("rec_id", BLOCK).distinct().join(replaced, "rec_id", "left_semi")
+        if blocks is None:
+            table = self.spark.table(self.table)
+            replaced = table.filter(F.col("version") == version).select("rec_id").distinct()
+            # One row per recording and block: those of before, and the new ones.
+            blocks = table.select("rec_id", BLOCK).distinct().join(replaced, "rec_id", "left_semi")
         entries = blocks.select("rec_id", BLOCK, F.lit(number).alias("number"), F.lit(version).alias("version"))
         entries.write.parquet(f"{self.root}/versions/{number:08d}-{version}")
 

@@ -88,6 +88,29 @@ def test_load_twice(spark, tmp_path, files, annotations):
     assert status["SC4003E0-PSG.edf"] == "none" and status["SC4002E0-PSG.edf"] == "fallback"
 
 
+def test_equal_names_in_two_folders_are_two_recordings(spark, tmp_path):
+    rows = [
+        (folder, name, datetime(year, 1, 1), datetime(2020, 1, 2))
+        for folder, year in (("a", 2001), ("b", 2002), (None, 2003))
+        for name in ("SC4001E0-PSG.edf", "SC4001EC-Hypnogram.edf")
+    ]
+    files = spark.createDataFrame(rows, "folder string, name string, meas_date timestamp, modified timestamp")
+    by_file = spark.createDataFrame(
+        [(f, "SC4001EC-Hypnogram.edf", 0, 0.0, d, "Sleep stage 2") for f, d in (("a", 60.0), ("b", 90.0), (None, 30.0))],
+        "folder string, hyp_filename string, ann_seq long, onset double, duration double, description string",
+    )
+    empty = create_tables(spark, str(tmp_path))
+    once = load_epochs(load_files(empty, files), by_file)
+    twice = load_epochs(load_files(once, files), by_file)
+    for tables in (once, twice):
+        found = tables["recordings"].join(tables["epochs"].groupBy("rec_id").count(), "rec_id").collect()
+        assert {(r.rec_code, r.psg_filename, r.rec_date, r["count"]) for r in found} == {
+            ("a/E0", "a/SC4001E0-PSG.edf", "2001-01-01", 2), ("b/E0", "b/SC4001E0-PSG.edf", "2002-01-01", 3),
+            ("E0", "SC4001E0-PSG.edf", "2003-01-01", 1),
+        }
+        assert tables["patients"].count() == 1
+
+
 def test_nothing_to_load(spark, annotations):
     tables = {
         "patients": spark.createDataFrame([], PATIENTS),

@@ -13,8 +13,9 @@ from test_storage import _epochs, _plan
 
 from hypnolith.functions.keys import BLOCK
 from hypnolith.operators import nights, runs, sequences
+from hypnolith.operators.epochs import build_epochs
 from hypnolith.plans import mart as mart_plan
-from hypnolith.plans import slices
+from hypnolith.plans import refresh, slices
 from hypnolith.sources import blocks, storage, versions
 
 
@@ -178,6 +179,46 @@ def test_a_reload_that_fails_half_way_shows_nothing(spark, versioned, monkeypatc
     assert versioned.read().filter("rec_id = 3").count() == 40
 
 
+def _annotations(spark, changes=(), without=()):
+    rng = random.Random(6)
+    rows = []
+    for rec in range(6):
+        onset = 0.0
+        for seq in range(25):
+            rows.append([rec, seq, onset, 30.0 * rng.randrange(1, 5), f"Sleep stage {rng.choice('W123R')}"])
+            onset += rows[-1][3]
+    for rec, seq, label in changes:
+        next(r for r in rows if r[:2] == [rec, seq])[4] = f"Sleep stage {label}"
+    rows = [r for r in rows if r[0] not in without]
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, "rec_id long, ann_seq long, onset double, duration double, description string")
+
+
+def test_refresh_builds_changed_blocks_only(spark, tmp_path, monkeypatch):
+    built = []
+    build = refresh.epochs_of_pieces
+    monkeypatch.setattr(refresh, "epochs_of_pieces", lambda *a, **k: built.append(1) or build(*a, **k))
+    table, known = refresh.first_load(_annotations(spark), str(tmp_path / "table"), 4, 16)
+    assert _rows(table.read().drop(BLOCK)) == _rows(build_epochs(_annotations(spark))) and len(built) == 1
+    known, changed = refresh.refresh(table, known, _annotations(spark))
+    assert changed.isEmpty() and len(built) == 1 and not os.path.exists(f"{table.root}/versions")
+    # One annotation changes its label: its blocks are built, and those of its recording alone.
+    one = next(r.description[-1] for r in _annotations(spark).collect() if (r.rec_id, r.ann_seq) == (2, 7))
+    other = [(2, 7, "4" if one != "3" else "1")]
+    before = {r.rec_id: r for r in table.read().groupBy("rec_id").count().collect()}
+    known, changed = refresh.refresh(table, known, _annotations(spark, other))
+    assert {r.rec_id for r in changed.collect()} == {2} and 1 <= changed.count() <= 2 < before[2]["count"] / 16 + 1
+    assert _rows(table.read().drop(BLOCK)) == _rows(build_epochs(_annotations(spark, other)))
+    # Recordings that are not in a load stay; shorter ones lose their last blocks.
+    known, changed = refresh.refresh(table, known, _annotations(spark, other, without=(0, 2)))
+    assert changed.isEmpty() and table.read().filter("rec_id = 0").count() == before[0]["count"]
+    short = _annotations(spark).filter("rec_id = 4 AND ann_seq < 3")
+    known, _ = refresh.refresh(table, known, short)
+    wanted = build_epochs(_annotations(spark, other)).filter("rec_id <> 4").unionByName(build_epochs(short))
+    assert _rows(table.read().drop(BLOCK)) == _rows(wanted)
+    assert refresh.refresh(table, known, short)[1].isEmpty()
+
+
 # --- slices ------------------------------------------------------------------------------
 
 
