@@ -24,7 +24,7 @@ from hypnolith.plans.mart import Mart, RawTables, load_mart
 from hypnolith.plans.refresh import first_load, refresh
 from hypnolith.plans.slices import load_slices
 from hypnolith.session import working_folder
-from hypnolith.sources import blocks, derived, folder, storage, versions
+from hypnolith.sources import blocks, derived, folder, snapshots, storage, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -467,6 +467,15 @@ def _(mart):
     return table.read().drop("epoch_block")
 
 
+@_on_mart("snapshot_delete")
+def _(mart):
+    spark = mart.epochs.sparkSession
+    kept = snapshots.Snapshots(spark, working_folder(spark, "snapshots"))
+    kept.commit(mart.tables, buckets=mart.buckets)
+    kept.delete_patients(mart.patients.filter("patients_id % 10 = 3"))
+    return quality.rows_left(kept.read())
+
+
 @_on_raw("refreshed_epochs")
 def _(raw):
     # First a state in which a quarter of the recordings is missing and another one differs.
