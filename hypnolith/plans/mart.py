@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypnolith.operators import analysis, exports, nights, runs, sequences
+from hypnolith.operators import analysis, exports, nights, partials, runs, sequences
 from hypnolith.operators.epochs import build_epochs
 from hypnolith.session import apply_table_settings, working_folder
 from hypnolith.sources import derived
@@ -46,6 +46,11 @@ class Mart:
         stored = runs.runs_of_epochs(self.epochs)
         return write_bucketed(stored, f"{self.root}/runs", "first_epoch", self.buckets, hashed=True)
 
+    @cached_property
+    def partials(self) -> DataFrame:
+        """Partial counts per recording and block, stored beside the epochs on first use."""
+        return write_table(partials.partials_of_runs(self.runs), f"{self.root}/partials")
+
     @cached_property
     def in_bed_runs(self) -> DataFrame:
         return runs.in_bed_runs(self.runs)

@@ -15,6 +15,7 @@ from hypnolith.operators import (
     files,
     loads,
     nights,
+    partials,
     quality,
     runs,
     seeding,
@@ -459,6 +460,31 @@ def _(mart):
     return sequences.fragmentation(mart.activity_of_runs)
 
 
+@_on_mart("bi_nights_of_partials")
+def _(mart):
+    return exports.bi_nights(partials.night_counts_of_partials(mart.partials), mart.labels)
+
+
+@_on_mart("fragmentation_of_partials")
+def _(mart):
+    return sequences.fragmentation(partials.activity_of_partials(mart.partials, mart.codes))
+
+
+@_on_raw("fragmentation_refreshed")
+def _(raw):
+    # Nights of a state that differs in half of the recordings, brought up to date block by block.
+    before = raw.annotations.withColumn(
+        "description", F.when(F.col("rec_id") % 2 == 0, "Sleep stage 1").otherwise(F.col("description"))
+    )
+    root = working_folder(raw.spark, "partials")
+    table, known = first_load(before, f"{root}/epochs", raw.epoch_partitions)
+    stored = storage.write_table(partials.block_partials(table.read()), f"{root}/before")
+    _, changed = refresh(table, known, raw.annotations)
+    now = storage.write_table(partials.refreshed_partials(stored, table.read(), changed), f"{root}/now")
+    codes = nights.recording_codes(raw.recordings, raw.patients)
+    return sequences.fragmentation(partials.activity_of_partials(now, codes))
+
+
 @_on_mart("versioned_reload")
 def _(mart):
     root = working_folder(mart.epochs.sparkSession, "versions")

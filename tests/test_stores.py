@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from test_storage import _epochs, _plan
 
 from hypnolith.functions.keys import BLOCK
-from hypnolith.operators import nights, runs, sequences
+from hypnolith.operators import nights, partials, runs, sequences
 from hypnolith.operators.epochs import build_epochs
 from hypnolith.plans import mart as mart_plan
 from hypnolith.plans import refresh, slices
@@ -126,6 +126,25 @@ def test_stored_runs_are_read_in_place_and_no_epochs_are(spark, tmp_path):
     assert stored.count() < epochs.count() / 2
 
 
+@pytest.mark.parametrize("block_epochs", [1 << 18, 9, 2])
+def test_nights_of_partials_equal_those_of_epochs(spark, block_epochs):
+    epochs = _epochs(spark, _labels(9, 40)).filter("epoch_idx % 13 <> 5")
+    codes = spark.range(41).selectExpr("id AS rec_id", "concat('P', id) AS patients_code")
+    held = partials.block_partials(epochs, block_epochs)
+    assert _rows(partials.night_counts_of_partials(held)) == _rows(nights.night_counts(epochs, block_epochs))
+    activity = partials.activity_of_partials(held, codes)
+    assert _rows(activity) == _rows(sequences.night_activity(epochs, codes, block_epochs))
+    # Blocks that change are counted anew; the rows of others stay.
+    after = _epochs(spark, {**_labels(9, 40), 3: ["N2", "W"] * 15, 5: ["W"] * 8}).filter("epoch_idx % 13 <> 5")
+    with_block = lambda df: partials.runs_of_epochs(df, block_epochs).select("rec_id", BLOCK)
+    changed = with_block(epochs).unionByName(with_block(after)).filter("rec_id IN (3, 5)").distinct()
+    blocked = after.withColumn(BLOCK, F.expr(f"epoch_idx div {block_epochs}"))
+    now = partials.refreshed_partials(held, blocked, changed, block_epochs)
+    assert _rows(partials.night_counts_of_partials(now)) == _rows(nights.night_counts(after, block_epochs))
+    assert _rows(partials.activity_of_partials(now, codes)) == _rows(sequences.night_activity(after, codes, block_epochs))
+    assert partials.night_counts_of_partials(held.limit(0)).isEmpty()
+
+
 # --- merge on read -----------------------------------------------------------------------
 
 
