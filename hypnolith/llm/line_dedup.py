@@ -1,7 +1,7 @@
 """Line deduplication within one edit, by a deletion-neighbourhood join.
 
 A line is its words. Lines with equal words form a class; the earliest place of a
-class, by (doc_id, line), is kept unless an earlier line lies within one edit (a word
+class, by (doc_id, line, digest of the row's text), is kept unless an earlier line lies within one edit (a word
 put in, taken out or replaced). Lines of fewer than ``LEAST_WORDS`` words must be equal.
 
 The neighbourhood of a line is itself and all its variants with one word deleted, as
@@ -59,13 +59,13 @@ class _Lines:
         return self.sums[which].without(first, size, at)
 
 
-LINES = "doc_id long, line int, n_words int, h1 long, h2 long, halves array<long>"
+LINES = "doc_id long, row long, line int, n_words int, h1 long, h2 long, halves array<long>"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents -> their lines: digests, and digests of their halves."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
         for row, end, words in steps(batch.column("text")):
             lines = _Lines(words)
             if not len(lines.first):
@@ -85,23 +85,24 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids[row:end][lines.text]),
+                    pa.array(keys[row:end][lines.text]),
                     pa.array(lines.number.astype(np.int32)),
                     pa.array(n.astype(np.int32)),
                     pa.array(signed(lines.digest(0, first, n))),
                     pa.array(signed(lines.digest(1, first, n))),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(flat))),
                 ],
-                names=["doc_id", "line", "n_words", "h1", "h2", "halves"],
+                names=["doc_id", "row", "line", "n_words", "h1", "h2", "halves"],
             )
 
 
-VARIANTS = "v1 long, v2 long, position int, doc_id long, line int, h1 long, h2 long"
+VARIANTS = "v1 long, v2 long, position int, doc_id long, row long, line int, h1 long, h2 long"
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with chosen lines -> the neighbourhood of those lines."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
         chosen = batch.column("lines")
         for row, end, words in steps(batch.column("text")):
             lines = _Lines(words)
@@ -128,11 +129,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(signed(names[1][cut])),
                         pa.array(position[cut].astype(np.int32)),
                         pa.array(ids[row:end][lines.text[held][line[cut]]]),
+                        pa.array(keys[row:end][lines.text[held][line[cut]]]),
                         pa.array(lines.number[held][line[cut]].astype(np.int32)),
                         pa.array(signed(own[0][cut])),
                         pa.array(signed(own[1][cut])),
                     ],
-                    names=["v1", "v2", "position", "doc_id", "line", "h1", "h2"],
+                    names=["v1", "v2", "position", "doc_id", "row", "line", "h1", "h2"],
                 )
 
 
@@ -143,17 +145,30 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     counted and never removed. ``n_equal`` counts removed lines whose words stand in
     an earlier line as they are, ``n_near`` other removed lines. What is earlier is
     judged on the input, also against lines that are removed themselves. Null and
-    empty texts have no lines. Rows that share a doc_id are one document whose lines
-    with one number are equally early; rows without doc_id come last. Other columns
-    are ignored; an empty table gives an empty result.
+    empty texts have no lines. Every row is a document of its own; lines with one number
+    of rows that share a doc_id are in order of a digest of the rows' texts, and those
+    of equal rows equally early. Rows without doc_id come last. Other columns are
+    ignored; an empty table gives an empty result.
     """
+    found = _repeated(docs)
+    return found.select(
+        F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"), "n_lines", "n_equal", "n_near", "removed"
+    )
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a digest of the text) and text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(ordered_id(docs).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """The result per row with doc_id as a long and ``row``."""
     spark = docs.sparkSession
     with_batches(spark)
-    texts = docs.select(
-        ordered_id(docs).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
+    texts = _texts(docs)
     lines = stored(texts.mapInArrow(_describe, LINES), "lines")
-    place = F.struct("doc_id", "line")
+    place = F.struct("doc_id", "line", "row")
     classes = stored(
         lines.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.first("halves").alias("halves")),
         "line-classes",
@@ -164,12 +179,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
     chosen = (
         halves.join(shared, "half")
-        .select("origin.doc_id", "origin.line")
-        .groupBy("doc_id")
+        .select("origin.doc_id", "origin.line", "origin.row")
+        .groupBy("doc_id", "row")
         .agg(F.collect_set("line").alias("lines"))
     )
-    variants = stored(texts.join(chosen, "doc_id").mapInArrow(_variants, VARIANTS), "line-variants")
-    at = F.struct("doc_id", "line")
+    variants = stored(texts.join(chosen, ["doc_id", "row"]).mapInArrow(_variants, VARIANTS), "line-variants")
+    at = place
     # Least places per variant: of the whole line, of deletions of each position, of all deletions.
     by_position = variants.groupBy("v1", "v2", "position").agg(F.min(at).alias("least"), F.count("*").alias("times"))
     per_variant = by_position.groupBy("v1", "v2").agg(
@@ -188,30 +203,32 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("near", F.lit(True))
     )
-    judged = lines.select("doc_id", "line", "h1", "h2").join(
+    judged = lines.select("doc_id", "row", "line", "h1", "h2").join(
         classes.select("h1", "h2", "origin").join(near, ["h1", "h2"], "left"), ["h1", "h2"]
     )
     equal = F.col("origin") < at
     removed = equal | F.coalesce(F.col("near"), F.lit(False))
-    counted = judged.groupBy("doc_id").agg(
+    counted = judged.groupBy("doc_id", "row").agg(
         F.count("*").alias("n_lines"),
         F.count_if(equal).alias("n_equal"),
         F.count_if(removed & ~equal).alias("n_near"),
         F.array_sort(F.collect_set(F.when(removed, F.col("line")))).alias("removed"),
     )
-    every = texts.select("doc_id").join(counted, "doc_id", "left")
-    zero = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name)
+    # Equal rows have been counted together.
+    rows = texts.select("doc_id", "row")
+    times = rows.groupBy("doc_id", "row").agg(F.count("*").alias("times"))
+    every = rows.join(times.join(counted, ["doc_id", "row"], "left"), ["doc_id", "row"])
+    share = lambda name: F.coalesce(F.expr(f"{name} div times"), F.lit(0)).cast("long").alias(name)
     return every.select(
-        F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"),
-        zero("n_lines"), zero("n_equal"), zero("n_near"),
+        "doc_id", "row", share("n_lines"), share("n_equal"), share("n_near"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
     )
 
 
 def without_lines(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with their repeated lines taken out of the text."""
-    found = repeated_lines(docs).filter("size(removed) > 0").select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("_found"), F.col("removed").alias("_removed")
+    found = _repeated(docs).filter("size(removed) > 0").select(
+        F.col("doc_id").alias("_found"), F.col("row").alias("_found_row"), F.col("removed").alias("_removed")
     ).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     kept = F.filter(
@@ -219,5 +236,7 @@ def without_lines(docs: DataFrame) -> DataFrame:
     )
     text = F.when(F.col("_removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]
-    rows = docs.select(row, ordered_id(docs).alias("_id"))
-    return rows.join(found, F.col("_id") == F.col("_found"), "left").select(*columns)
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.select(row, ordered_id(docs).alias("_id"), digest.alias("_digest"))
+    same = (F.col("_id") == F.col("_found")) & (F.col("_digest") == F.col("_found_row"))
+    return rows.join(found, same, "left").select(*columns)

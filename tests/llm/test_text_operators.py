@@ -409,6 +409,23 @@ def test_line_edges(edge_docs, no_docs):
     assert line_dedup.repeated_lines(no_docs).isEmpty()
 
 
+def test_lines_of_rows_that_share_or_lack_an_id(spark):
+    """Each row has its own counts; earlier is the lesser doc_id, then line, then the digest of the row's text."""
+    rng = random.Random(33)
+    same, other = " ".join(f"e{k}" for k in range(9)), " ".join(f"f{k}" for k in range(9))
+    texts = ["only one", f"{same}\nmine", f"{same}\nyours\n{other}", f"x y\n{other}", None, ""]
+    rows = [(i, t) for i in (None, 4) for t in texts] + [(9, f"{same}\n{other}"), (9, f"{same}\n{other}")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.repeated_lines(docs).join(docs.select("doc_id").distinct(), "doc_id", "left").collect()
+    assert sorted(r.n_lines for r in found if r.doc_id is None) == [0, 0, 1, 2, 2, 3] == sorted(r.n_lines for r in found if r.doc_id == 4)
+    assert [(r.n_lines, r.n_equal, r.removed) for r in found if r.doc_id == 9] == [(2, 2, [0, 1])] * 2
+    # Of the rows of id 4 one keeps each shared line, all rows without id lose theirs.
+    assert sum(r.n_equal for r in found if r.doc_id == 4) == 2 and sum(r.n_equal for r in found if r.doc_id is None) == 8
+    kept = [(r.doc_id, line) for r in line_dedup.without_lines(docs).collect() for line in (r.text or "").split("\n") if line]
+    assert Counter(kept) == Counter({(4, line): 1 for line in ("only one", "mine", "yours", "x y", same, other)})
+
+
 # --- language model -----------------------------------------------------------------
 
 
