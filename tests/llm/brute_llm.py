@@ -122,3 +122,58 @@ def repeated_lines(docs: list[tuple[int, str | None]], least: int = 8) -> dict:
         if first[w] < (d, k) or w in near:
             o[3].append(k)
     return out
+
+
+def class_scores(docs: list[tuple[int, list[int]]], held: set, end: int, context, classes: int, contexts: int, rounds: int, prior: float) -> dict:
+    """log10 probabilities of texts, given as word numbers, under the class model, word by word."""
+    import math
+    from collections import Counter, defaultdict
+
+    import numpy as np
+
+    train = [tokens for d, tokens in docs if d not in held]
+    seen: dict = defaultdict(Counter)
+    for tokens in train:
+        for before, word in zip([end, *tokens], tokens):
+            seen[word][context(before)] += 1
+    vectors = {w: np.array([c[k] for k in range(contexts)], float) for w, c in seen.items()}
+    per, gain = classes // contexts, None
+
+    def class_of(word):
+        v = vectors[word]
+        if v.sum() < 2:
+            return classes
+        if gain is not None:
+            return int(np.argmax(v[None] @ gain))
+        first, second = sorted(range(contexts), key=lambda k: -v[k])[:2]
+        return (first * per + second % per) % classes
+
+    for _ in range(rounds):
+        sums = np.zeros((contexts, classes))
+        for word in vectors:
+            if class_of(word) < classes:
+                sums[:, class_of(word)] += vectors[word]
+        gain = np.log((sums + 0.5) / (sums + 0.5).sum(axis=0))
+    kind = {w: class_of(w) for w in vectors}
+    size, rare = Counter(), sum(k == classes for k in kind.values())
+    for w, k in kind.items():
+        size[k] += int(vectors[w].sum())
+    start = kind.get(end, classes)
+    moves = Counter()
+    for tokens in train:
+        own = [kind[w] for w in tokens]
+        moves.update(zip([start, *own], own))
+    into, out = Counter(), Counter()
+    for (i, j), n in moves.items():
+        out[i] += n
+        into[j] += n
+    total = sum(into.values())
+    scores = {}
+    for d, tokens in docs:
+        own, score = [kind.get(w, classes) for w in tokens], 0.0
+        for i, j, w in zip([start, *own], own, tokens):
+            overall = (into[j] + 1) / (total + classes + 1)
+            score += math.log10((moves[i, j] + prior * overall) / (out[i] + prior))
+            score += math.log10(vectors[w].sum() / size[j]) if j < classes else -math.log10(rare + 1)
+        scores[d] = score
+    return scores
