@@ -1,17 +1,22 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template is found in a block if the block holds at least
-``THRESHOLD`` of the template's distinct tokens. The join is the usual one for such
-thresholds:
+A block is a run of consecutive words of a text, line feeds or not, of at most the
+template's words divided by ``THRESHOLD``: a template may be wrapped, and up to a fifth
+of its block may be other words, but scattered words are none. It is found in a block
+that holds at least ``THRESHOLD`` of its distinct tokens. The join is the usual one
+for such thresholds:
 
 * tokens have one global order, by the number of documents that hold them, rarest
   first. Only tokens of templates can overlap, so others need no place in it;
 * prefix filter: a block that meets the threshold holds one of the template's
-  size - overlap + 1 rarest tokens. Blocks without any of them are never built;
-* length filter: it must hold as many template tokens as the overlap needs;
-* positional filter: from the first common prefix token on, enough tokens must be
-  left on both sides;
-* what remains is verified on the token sets.
+  size - overlap + 1 rarest tokens. Texts without any of them are passed over;
+* texts are cut into stretches of ``STRETCH`` words and what a block begun in them may
+  need after; stretches, not blocks, are joined on prefix tokens;
+* length filter: a stretch must hold as many template tokens as the overlap needs;
+* positional filter: the common token that is rarest is in the prefix, so from that
+  token on enough tokens must be left on both sides, and be common;
+* what remains is verified on all blocks of the stretch that begin with a token of the
+  template; others hold no more than one of these.
 
 Templates are a fixed table of a few hundred tokens, so that side is broadcast; the
 text side is never shuffled, only the matches found.
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from hypnolith.llm.tables import computed
 
 THRESHOLD = 0.8
+#: Words of a text in which blocks begin that are joined together.
+STRETCH = 256
 #: Runs of other ASCII characters separate tokens; letters are lower-cased before.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,7 +74,13 @@ def tokens_of(text: Column) -> Column:
 
 
 def _template_tokens(text: str) -> list[str]:
-    return sorted({t for t in re.split(SEPARATORS, text.lower()) if t})
+    return [t for t in re.split(SEPARATORS, text.lower()) if t]
+
+
+def _bounds(tokens: list[str], threshold: float) -> tuple[int, int]:
+    """Distinct tokens that must be common, and the most words of a block."""
+    need = math.ceil(threshold * len(set(tokens)) - 1e-9)
+    return max(1, need), max(1, math.floor(len(tokens) / threshold + 1e-9))
 
 
 @dataclass(frozen=True)
@@ -75,22 +88,26 @@ class Templates:
     """Templates with their tokens in the global order."""
 
     order: list[str]
-    rows: list[tuple[int, str, list[str], int]]  # id, label, tokens in order, overlap needed
+    rows: list[tuple[int, str, list[str], int, int]]  # id, label, tokens in order, overlap needed, words of a block
 
     @property
     def prefix(self) -> list[str]:
-        found = {t for _, _, tokens, need in self.rows for t in tokens[: len(tokens) - need + 1]}
+        found = {t for _, _, tokens, need, _ in self.rows for t in tokens[: len(tokens) - need + 1]}
         return sorted(found)
 
+    @property
+    def widest(self) -> int:
+        return max((width for *_, width in self.rows), default=1)
+
     def frame(self, spark) -> DataFrame:
-        """One row per template and prefix token."""
+        """One row per template and prefix token, with the tokens from that one on."""
         rows = [
-            (number, label, tokens, need, token, place)
-            for number, label, tokens, need in self.rows
+            (label, len(tokens), tokens[place:], need, width, token)
+            for _, label, tokens, need, width in self.rows
             for place, token in enumerate(tokens[: len(tokens) - need + 1])
         ]
         return spark.createDataFrame(
-            rows, "template int, label string, t_tokens array<string>, need int, token string, t_place int"
+            rows, "label string, t_size int, t_rest array<string>, need int, width int, token string"
         )
 
 
@@ -107,36 +124,55 @@ def ordered_templates(tokens: DataFrame, templates=TEMPLATES, threshold: float =
     order = sorted(known, key=lambda t: (seen.get(t, 0), t))
     place = {t: k for k, t in enumerate(order)}
     rows = [
-        (number, label, sorted(s, key=place.__getitem__), max(1, math.ceil(threshold * len(s) - 1e-9)))
+        (number, label, sorted(set(s), key=place.__getitem__), *_bounds(s, threshold))
         for number, (label, s) in enumerate(sets)
     ]
     return Templates(order, rows)
 
 
 def block_matches(docs: DataFrame, templates: Templates) -> DataFrame:
-    """doc_id, label and containment of every (block, template) that meets the threshold.
+    """doc_id, label and containment of every (stretch, template) with a block that meets the threshold.
 
-    ``docs`` has doc_id, text and the array ``tokens`` of the whole text, by which
-    documents without any prefix token are passed over.
+    ``docs`` has doc_id and the array ``tokens`` of the whole text. Containment is that
+    of the stretch's best block.
     """
     spark = docs.sparkSession
-    order = F.lit(templates.order)
-    blocks = (
-        docs.filter(F.arrays_overlap("tokens", F.lit(templates.prefix)))
-        .select("doc_id", F.explode(F.split("text", "\n")).alias("_line"))
-        .select("doc_id", F.array_intersect(order, tokens_of(F.col("_line"))).alias("b_tokens"))
-        .filter(F.size("b_tokens") > 0)
-        .select("doc_id", "b_tokens", F.posexplode("b_tokens").alias("b_place", "token"))
-    )
-    pairs = blocks.join(F.broadcast(templates.frame(spark)), "token")
-    t_size, b_size = F.size("t_tokens"), F.size("b_tokens")
-    left = F.least(t_size - F.col("t_place"), b_size - F.col("b_place"))
-    common = F.size(F.array_intersect("b_tokens", "t_tokens"))
+    prefix = F.lit(templates.prefix)
+    cut = F.transform(
+        F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(STRETCH)),
+        lambda at: F.slice("tokens", at + 1, F.lit(STRETCH + templates.widest - 1)),
+    )
+    stretches = (
+        docs.filter(F.arrays_overlap("tokens", prefix))
+        .select("doc_id", F.explode(cut).alias("words"))
+        .filter(F.arrays_overlap("words", prefix))
+    )
+    held = computed(
+        stretches,
+        [F.col("doc_id"), F.col("words")],
+        b_tokens=F.array_intersect(F.lit(templates.order), F.col("words")),
+    )
+    numbered = F.transform("b_tokens", lambda token, k: F.struct(k.alias("b_place"), token.alias("token")))
+    keys = F.filter(numbered, lambda pair: F.array_contains(prefix, pair["token"]))
+    pairs = held.select("doc_id", "words", "b_tokens", F.inline(keys)).join(
+        F.broadcast(templates.frame(spark)), "token"
+    )
+    left = F.least(F.size("t_rest"), F.size("b_tokens") - F.col("b_place"))
+    candidates = pairs.filter(left >= F.col("need")).filter(
+        F.size(F.array_intersect("t_rest", "b_tokens")) >= F.col("need")
+    )
+    begins = F.filter(
+        F.transform("words", lambda word, k: F.when(F.array_contains("t_rest", word), k)), lambda k: k.isNotNull()
+    )
+    best = F.array_max(
+        F.transform(
+            begins, lambda k: F.size(F.array_intersect(F.slice("words", k + 1, F.col("width")), F.col("t_rest")))
+        )
+    )
     return (
-        pairs.filter((b_size >= F.col("need")) & (left >= F.col("need") - F.col("t_place")))
-        .withColumn("_common", common)
-        .filter("_common >= need")
-        .select("doc_id", "label", (F.col("_common") / t_size).alias("containment"))
+        computed(candidates, [F.col("doc_id"), F.col("label"), F.col("t_size"), F.col("need")], common=best)
+        .filter("common >= need")
+        .select("doc_id", "label", (F.col("common") / F.col("t_size")).alias("containment"))
     )
 
 
@@ -160,7 +196,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Base places are counted over the whole text, across lines. ``labels`` adds those
-    of templates found in a line; ``score`` is the best containment found, 0 if none.
+    of templates found in a block; ``score`` is the best containment found, 0 if none.
     Null and empty texts have no words and no labels. Rows with one doc_id (or with
     none) share the template labels found in any of them. Other columns are ignored;
     an empty table gives an empty result.
@@ -212,7 +248,8 @@ def _sql_list(values) -> str:
 def _oracle() -> str:
     sets = [(k, label, _template_tokens(text)) for k, (label, text) in enumerate(TEMPLATES)]
     rows = ", ".join(
-        f"({k}, '{label}', {_sql_list(s)}, {max(1, math.ceil(THRESHOLD * len(s) - 1e-9))})" for k, label, s in sets
+        f"({k}, '{label}', {_sql_list(sorted(set(s)))}, {', '.join(map(str, _bounds(s, THRESHOLD)))})"
+        for k, label, s in sets
     )
     found = " UNION ALL ".join(
         f"SELECT doc_id, i, '{label}' AS label FROM p WHERE tokens[i + 1 : i + {len(phrase)}] = {_sql_list(phrase)}"
@@ -223,18 +260,18 @@ def _oracle() -> str:
         + r"'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
     )
     return f"""
-WITH t(template, label, tokens, need) AS (VALUES {rows}),
+WITH t(template, label, tokens, need, width) AS (VALUES {rows}),
 d AS (SELECT doc_id, text, {split.format('text')} AS tokens FROM documents),
 p AS (SELECT doc_id, tokens, unnest(range(len(tokens))) AS i FROM d),
 b AS ({found}),
 a AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
     list(DISTINCT label) AS base FROM b GROUP BY doc_id),
-l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-k AS (SELECT doc_id, {split.format('line')} AS tokens FROM l),
-c AS (SELECT k.doc_id, t.label, len(list_intersect(k.tokens, t.tokens)) AS common, len(t.tokens) AS size, need
-  FROM k JOIN t ON list_has_any(k.tokens, t.tokens)),
-m AS (SELECT doc_id, list(DISTINCT label) AS found, max(common / size) AS best FROM c
-  WHERE common >= need GROUP BY doc_id)
+u AS (SELECT template, width, unnest(tokens) AS token FROM t),
+w AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS i FROM d),
+c AS (SELECT w.doc_id, template, count(DISTINCT token) OVER (PARTITION BY w.doc_id, template ORDER BY i
+    RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING) AS common FROM w JOIN u USING (token)),
+m AS (SELECT doc_id, list(DISTINCT label) AS found, max(common / len(tokens)) AS best
+  FROM c JOIN t USING (template) WHERE common >= need GROUP BY doc_id)
 SELECT d.doc_id, len(d.tokens)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
   first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,

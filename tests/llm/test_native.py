@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 import re
 
 import duckdb
@@ -98,6 +99,48 @@ def test_license_join_finds_every_pair(spark):
     assert found == wanted
 
 
+MIT = "Permission is hereby granted, free of charge,\n * to any person obtaining a copy\n# of this software and associated\n documentation files"
+BSD = "Redistribution and use in source and binary\r\nforms, with or without modification,\n\n are permitted"
+
+
+def test_license_blocks_cross_lines_but_do_not_scatter(spark):
+    filler = " ".join(f"w{k}" for k in range(3000))
+    texts = [
+        MIT,
+        "x " * 250 + BSD,  # over the end of a stretch
+        f" {filler} ".join(["released", "under", "the", "license"]),
+        "released under the quite new MIT license",  # two words put in, of which a block has room for one
+        "released under the new MIT license",
+        "license " * 5000 + "released under mit",
+    ]
+    rows = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[k].labels for k in range(len(texts))] == ["mit", "bsd", "", "mit", "mit", "mit"]
+    assert [rows[k].score for k in range(len(texts))] == [1.0, 1.0, 0.0, 0.8, 1.0, 0.8]
+
+
+def test_license_blocks_equal_plain_version(spark):
+    draw = random.Random(5)
+    templates = (("x", "alpha beta gamma delta epsilon alpha"), ("y", "beta gamma"), ("z", "omega alpha omega beta zeta eta theta iota kappa"))
+    known = "alpha beta gamma delta epsilon omega zeta eta theta iota kappa".split()
+    texts = [
+        "".join(draw.choice(known + ["other", "word"] * draw.choice([0, 3, 9])) + draw.choice([" ", "\n", ", "]) for _ in range(n))
+        for n in (1, 3, 8, 20, 40, 255, 256, 257, 300, 700) * 3
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = {}
+    for k, text in enumerate(texts):
+        found = re.findall("[a-z]+", text)
+        for label, template in templates:
+            t = set(template.split())
+            width = int(len(template.split()) / 0.8)
+            best = max(len(t & set(found[i : i + width])) / len(t) for i in range(len(found)))
+            if best >= 0.8:
+                wanted.setdefault(k, {})[label] = best
+    for row in license_scan.scan(docs, templates).collect():
+        got = wanted.get(row.doc_id, {})
+        assert (set(row.labels.split(",")) - {""}, row.score) == (set(got), max(got.values(), default=0.0))
+
+
 def test_license_phrases_are_counted_like_plain_text(edge_docs):
     for row in license_scan.scan(edge_docs.filter("text IS NOT NULL AND doc_id IS NOT NULL")).collect():
         texts = [r.text for r in edge_docs.filter(f"doc_id = {row.doc_id}").collect()]
