@@ -9,7 +9,7 @@ The neighbourhood of a line is itself and all its variants with one word deleted
 with the same place deleted in common (a replaced word) or the one is a variant of the
 other (a word put in). A group of equal variants therefore needs no pairs: the least
 place among the whole lines, and among the deletions of each position, decide for
-every member.
+every member. A line stands for its class by its place, which no other class has.
 
 Before variants are made, lines that cannot have a neighbour are left out: of two
 lines within one edit the first or the last half, by the shorter one's length, is
@@ -59,44 +59,47 @@ class _Lines:
         return self.sums[which].without(first, size, at)
 
 
-LINES = "doc_id long, row long, line int, n_words int, h1 long, h2 long, halves array<long>"
+LINES = "doc_id long, row long, line int, h1 long, h2 long, halves array<long>"
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(least_words: int):
     """Documents -> their lines: digests, and digests of their halves."""
-    for batch in batches:
-        ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
-        for row, end, words in steps(batch.column("text")):
-            lines = _Lines(words)
-            if not len(lines.first):
-                continue
-            n, first = lines.size, lines.first
-            halves = []
-            for h in (n // 2, (n - 1) // 2):
-                for side, begin in ((0, first), (1, first + n - h)):
-                    tag = np.uint64(2) * h.astype(np.uint64) + np.uint64(side)
-                    halves.append(mixed(lines.digest(0, begin, h) + mixed(tag + _OTHER)))
-            flat = np.stack(halves, axis=1)
-            long_ = n >= LEAST_WORDS
-            # An odd length has one half only; short lines have none.
-            count = np.where(long_, np.where(n % 2 == 0, 4, 2), 0)
-            flat = flat[np.arange(4)[None] < count[:, None]]
-            offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[row:end][lines.text]),
-                    pa.array(keys[row:end][lines.text]),
-                    pa.array(lines.number.astype(np.int32)),
-                    pa.array(n.astype(np.int32)),
-                    pa.array(signed(lines.digest(0, first, n))),
-                    pa.array(signed(lines.digest(1, first, n))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(flat))),
-                ],
-                names=["doc_id", "row", "line", "n_words", "h1", "h2", "halves"],
-            )
-
-
-VARIANTS = "v1 long, v2 long, position int, doc_id long, row long, line int, h1 long, h2 long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
+            for row, end, words in steps(batch.column("text")):
+                lines = _Lines(words)
+                if not len(lines.first):
+                    continue
+                n, first = lines.size, lines.first
+                halves = []
+                for h in (n // 2, (n - 1) // 2):
+                    for side, begin in ((0, first), (1, first + n - h)):
+                        tag = np.uint64(2) * h.astype(np.uint64) + np.uint64(side)
+                        halves.append(mixed(lines.digest(0, begin, h) + mixed(tag + _OTHER)))
+                flat = np.stack(halves, axis=1)
+                long_ = n >= least_words
+                # An odd length has one half only; short lines have none.
+                count = np.where(long_, np.where(n % 2 == 0, 4, 2), 0)
+                flat = flat[np.arange(4)[None] < count[:, None]]
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[row:end][lines.text]),
+                        pa.array(keys[row:end][lines.text]),
+                        pa.array(lines.number.astype(np.int32)),
+                        pa.array(signed(lines.digest(0, first, n))),
+                        pa.array(signed(lines.digest(1, first, n))),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(flat))),
+                    ],
+                    names=["doc_id", "row", "line", "h1", "h2", "halves"],
+                )
+
+    return run
+
+
+VARIANTS = "v1 long, v2 long, position int, doc_id long, row long, line int"
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +123,6 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for which in (0, 1):
                 deleted = lines.without(which, first[line], n[line], np.maximum(position, 0))
                 names.append(np.where(whole, lines.digest(which, first, n)[line], deleted))
-            own = [lines.digest(which, first, n)[line] for which in (0, 1)]
             for k in range(0, len(line), 50_000):
                 cut = slice(k, k + 50_000)
                 yield pa.RecordBatch.from_arrays(
@@ -131,14 +133,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(ids[row:end][lines.text[held][line[cut]]]),
                         pa.array(keys[row:end][lines.text[held][line[cut]]]),
                         pa.array(lines.number[held][line[cut]].astype(np.int32)),
-                        pa.array(signed(own[0][cut])),
-                        pa.array(signed(own[1][cut])),
                     ],
-                    names=["v1", "v2", "position", "doc_id", "row", "line", "h1", "h2"],
+                    names=["v1", "v2", "position", "doc_id", "row", "line"],
                 )
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Per document: doc_id, n_lines, n_equal, n_near and the removed lines' numbers.
 
     Lines are split at line feeds and numbered from 0; lines without words are not
@@ -148,9 +148,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     empty texts have no lines. Every row is a document of its own; lines with one number
     of rows that share a doc_id are in order of a digest of the rows' texts, and those
     of equal rows equally early. Rows without doc_id come last. Other columns are
-    ignored; an empty table gives an empty result.
+    ignored; an empty table gives an empty result. Lines of fewer than ``least_words``
+    words are compared as they are.
     """
-    found = _repeated(docs)
+    found = _repeated(docs, least_words)
     return found.select(
         F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"), "n_lines", "n_equal", "n_near", "removed"
     )
@@ -162,12 +163,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(ordered_id(docs).alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
-def _repeated(docs: DataFrame) -> DataFrame:
+def _repeated(docs: DataFrame, least_words: int) -> DataFrame:
     """The result per row with doc_id as a long and ``row``."""
     spark = docs.sparkSession
     with_batches(spark)
     texts = _texts(docs)
-    lines = stored(texts.mapInArrow(_describe, LINES), "lines")
+    lines = stored(texts.mapInArrow(_describe(least_words), LINES), "lines")
     place = F.struct("doc_id", "line", "row")
     classes = stored(
         lines.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.first("halves").alias("halves")),
@@ -199,12 +200,12 @@ def _repeated(docs: DataFrame) -> DataFrame:
     )
     near = (
         met.filter(F.col("earlier") < at)
-        .select("h1", "h2")
+        .select(at.alias("origin"))
         .distinct()
         .withColumn("near", F.lit(True))
     )
     judged = lines.select("doc_id", "row", "line", "h1", "h2").join(
-        classes.select("h1", "h2", "origin").join(near, ["h1", "h2"], "left"), ["h1", "h2"]
+        classes.select("h1", "h2", "origin").join(near, "origin", "left"), ["h1", "h2"]
     )
     equal = F.col("origin") < at
     removed = equal | F.coalesce(F.col("near"), F.lit(False))
@@ -225,9 +226,9 @@ def _repeated(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_lines(docs: DataFrame) -> DataFrame:
+def without_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``docs`` with their repeated lines taken out of the text."""
-    found = _repeated(docs).filter("size(removed) > 0").select(
+    found = _repeated(docs, least_words).filter("size(removed) > 0").select(
         F.col("doc_id").alias("_found"), F.col("row").alias("_found_row"), F.col("removed").alias("_removed")
     ).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")

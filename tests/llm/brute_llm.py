@@ -102,15 +102,9 @@ def repeated_lines(docs: list[tuple[int, str | None]], least: int = 8) -> dict:
         first.setdefault(w, (d, k))
     near = set()
     long_ = sorted((w for w in first if len(w) >= least), key=first.__getitem__)
-    by_half: dict[tuple, list] = {}
-    for w in long_:
-        seen = set()
-        for h in {len(w) // 2, (len(w) - 1) // 2}:
-            seen |= {(h, w[:h]), (-h, w[-h:])}
-        if any(within_one_edit(w, v) for key in seen for v in by_half.get(key, ())):
+    for k, w in enumerate(long_):
+        if any(within_one_edit(w, v) for v in long_[:k] if abs(len(w) - len(v)) <= 1):
             near.add(w)
-        for key in seen:
-            by_half.setdefault(key, []).append(w)
     out = {d: [0, 0, 0, []] for d, _ in docs}
     for d, k, w in lines:
         o = out[d]

@@ -396,6 +396,13 @@ def test_lines_within_one_edit(spark):
     assert {r.doc_id: [r.n_lines, r.n_equal, r.n_near, r.removed] for r in rows} == brute_llm.repeated_lines(docs)
 
 
+@pytest.mark.parametrize("least", [2, 5])
+def test_lines_with_another_least_length(spark, least):
+    docs = [(1, "a b c\na b d\nx y\nx z"), (2, "a b c d e\na b c d\nq w e r t"), (3, "q w e t\nx y z\na\nb")]
+    rows = line_dedup.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"), least).collect()
+    assert {r.doc_id: [r.n_lines, r.n_equal, r.n_near, r.removed] for r in rows} == brute_llm.repeated_lines(docs, least)
+
+
 def test_line_edges(edge_docs, no_docs):
     rows = line_dedup.repeated_lines(edge_docs).collect()
     assert len(rows) == edge_docs.count()
