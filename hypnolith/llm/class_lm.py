@@ -1,13 +1,16 @@
 """Scores by a class-based n-gram model: P(word | previous) = P(class | previous class) * P(word | class).
 
-* Training counts every word by the context it stands in: one of ``CONTEXTS`` groups
-  that the word before falls into by its digest. Frequent words dominate a group, so
-  the counts tell words with different company apart.
-* Exchange clustering: in each round every word moves to the class under which its
-  contexts are most likely, given the class counts of the round before; all words
-  move at once. Only the contexts x classes matrix goes to the driver, whatever the
-  number of words. Words seen once form a class of their own, from which unseen words
-  are drawn as well.
+* Exchange clustering on class bigrams: a word's contexts are the classes of the words
+  before and after it. The ``FREQUENT`` most frequent words are dealt to classes by rank
+  and exchanged: in each round their contexts are counted over all training text, and
+  every word moves to the class under which its contexts are most likely, given the
+  class counts of the round before. All words move at once, so that a round is one
+  pass; tasks share the classes of those words only, at 9 bytes a word, a bound that
+  does not depend on the input.
+* All other words then take the class that is likeliest for their contexts, counted once
+  over all training text. Where a neighbour is not frequent, its class is the one more of
+  rare words, here as context. Words seen once form that class, from which unseen words
+  are drawn as well; no number of words limits the vocabulary.
 * Documents are dealt into buckets of some ``BUCKET_BYTES``. A bucket asks for its
   distinct words' counts and classes (a join on the word), and its documents are
   read against the answer; no vocabulary is held whole by anyone. What is left per
@@ -20,6 +23,7 @@ Words are known by 60 bits of a digest.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +33,11 @@ from pyspark.sql import functions as F
 from hypnolith.llm.tables import stored, with_batches
 from hypnolith.llm.words import Words, mixed, steps
 
-CONTEXTS = 16
 CLASSES = 64  # and one more, of words seen once
-ROUNDS = 5
+CONTEXTS = 2 * (CLASSES + 1)  # class before, class after
+#: Words whose classes are exchanged; a bound on what tasks share, not on the vocabulary.
+FREQUENT = 1 << 14
+ROUNDS = 3
 BUCKET_BYTES = 16 << 20
 #: Weight of the class frequencies in a transition probability, in observations.
 PRIOR = 10.0
@@ -51,34 +57,50 @@ def text_tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return tokens, first
 
 
-def _contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Group of the token before each; before a text's first it is the end."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[first[:-1]] = END
-    return (mixed(before) % np.uint64(CONTEXTS)).astype(np.uint64)
+@dataclass(frozen=True)
+class Frequent:
+    """Digests of frequent words, ascending, and the class of each."""
 
+    words: np.ndarray
+    classes: np.ndarray
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training texts -> (word, context, n) of what one task has seen."""
+    def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(is frequent, class: ``CLASSES`` if it is not) of each token."""
+        if not len(self.words):
+            return np.zeros(len(tokens), bool), np.full(len(tokens), CLASSES, np.uint64)
+        place = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+        held = self.words[place] == tokens
+        return held, np.where(held, self.classes[place], CLASSES).astype(np.uint64)
+
+
+def _pairs(tokens: np.ndarray, first: np.ndarray, frequent: Frequent, chosen: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(word, context) of the frequent words (``chosen``) or of all others. Texts begin after an end."""
+    held, kind = frequent.find(tokens)
+    before = np.empty_like(kind)
+    before[1:] = kind[:-1]
+    before[first[:-1]] = kind[first[1:] - 1]
+    after = np.empty_like(kind)
+    after[:-1] = kind[1:]
+    inner = np.ones(len(tokens), bool)
+    inner[first[1:] - 1] = False  # nothing stands after an end
+    held = held == chosen
+    words = np.concatenate([tokens[held], tokens[held & inner]])
+    return words, np.concatenate([before[held], after[held & inner] + np.uint64(CLASSES + 1)])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training texts -> (word, n) of what one task has seen."""
     held: list[np.ndarray] = []
     waiting = 0
 
     def flush() -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array((key & _KEEP).view(np.int64)),
-                pa.array((key & ~_KEEP).astype(np.int8)),
-                pa.array(n.astype(np.int64)),
-            ],
-            names=["word", "context", "n"],
-        )
+        word, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
     for batch in batches:
         for _, _, words in steps(batch.column("text"), lower=True):
-            tokens, first = text_tokens(words)
-            held.append(tokens | _contexts(tokens, first))
+            tokens, _ = text_tokens(words)
+            held.append(tokens)
             waiting += len(tokens)
             if waiting >= FLUSH_TOKENS:
                 yield flush()
@@ -87,6 +109,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _count(frequent: Frequent, chosen: bool):
+    """Training texts -> (word, context, n) of what one task has seen."""
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        # Digests leave no room for a context: number the words of this flush.
+        words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        key, n = np.unique(at * CONTEXTS + np.concatenate([c for _, c in held]).astype(np.int64), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(words[key // CONTEXTS].view(np.int64)),
+                pa.array((key % CONTEXTS).astype(np.int16)),
+                pa.array(n.astype(np.int64)),
+            ],
+            names=["word", "context", "n"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        waiting = 0
+        for batch in batches:
+            for _, _, words in steps(batch.column("text"), lower=True):
+                held.append(_pairs(*text_tokens(words), frequent, chosen))
+                waiting += len(held[-1][0])
+                if waiting >= FLUSH_TOKENS:
+                    yield flush(held)
+                    held, waiting = [], 0
+        if waiting:
+            yield flush(held)
+
+    return run
+
+
 def _dense(batch: pa.RecordBatch) -> np.ndarray:
     """Counts of a batch of words by context."""
     n = batch.column("n")
@@ -96,14 +150,9 @@ def _dense(batch: pa.RecordBatch) -> np.ndarray:
     return counts
 
 
-def classes_of(counts: np.ndarray, gain: np.ndarray | None) -> np.ndarray:
-    """Class of each word: the likeliest for its contexts; at first by its two main contexts."""
-    if gain is None:
-        order = np.argsort(-counts, axis=1, kind="stable")
-        best = (order[:, 0] * (CLASSES // CONTEXTS) + order[:, 1] % (CLASSES // CONTEXTS)) % CLASSES
-    else:
-        best = np.argmax(counts @ gain, axis=1)
-    return np.where(counts.sum(axis=1) > 1, best, CLASSES).astype(np.int16)
+def classes_of(counts: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """The class that is likeliest for the contexts of each word."""
+    return np.argmax(counts @ gain, axis=1).astype(np.int16)
 
 
 def _gain(matrix: np.ndarray) -> np.ndarray:
@@ -112,12 +161,12 @@ def _gain(matrix: np.ndarray) -> np.ndarray:
     return np.log(smooth / smooth.sum(axis=0))
 
 
-def _sum_classes(gain):
+def _sum_classes(frequent: Frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((CONTEXTS, CLASSES + 1))
         for batch in batches:
-            counts = _dense(batch)
-            np.add.at(total.T, classes_of(counts, gain), counts)
+            _, kind = frequent.find(batch.column("word").to_numpy().view(np.uint64))
+            np.add.at(total.T, kind.astype(np.int64), _dense(batch))
         c, k = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[c, k].astype(np.int64))],
@@ -135,31 +184,66 @@ def _matrix(rows: DataFrame, shape: tuple[int, int]) -> np.ndarray:
     return out
 
 
-def exchange(vectors: DataFrame, rounds: int = ROUNDS) -> np.ndarray | None:
-    """Class preferences by context after ``rounds`` rounds."""
-    gain = None
-    for _ in range(rounds):
-        summed = vectors.mapInArrow(_sum_classes(gain), "i int, j int, n long")
-        gain = _gain(_matrix(summed, (CONTEXTS, CLASSES + 1)))
-    return gain
-
-
-def _dictionary(gain):
+def _moved(gain: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = _dense(batch)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    pa.array(counts.sum(axis=1).astype(np.int64)),
-                    pa.array(classes_of(counts, gain)),
-                ],
-                names=["word", "n", "class"],
+                [batch.column("word"), pa.array(classes_of(_dense(batch), gain))], names=["word", "class"]
             )
 
     return run
 
 
+def _vectors(train: DataFrame, frequent: Frequent, chosen: bool, purpose: str) -> DataFrame:
+    """word, contexts and their counts n, over all training text."""
+    counted = train.mapInArrow(_count(frequent, chosen), "word long, context short, n long")
+    # Frequent words are in every task's counts: each of their contexts is summed by itself.
+    return stored(
+        (counted if chosen else counted.repartition("word"))
+        .groupBy("word", "context")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("word")
+        .agg(F.collect_list(F.struct("context", "n")).alias("_v"))
+        .select("word", F.col("_v.context").alias("contexts"), F.col("_v.n").alias("n")),
+        purpose,
+    )
+
+
+def _frequent(rows: pa.Table) -> Frequent:
+    words = rows.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return Frequent(words[order], rows.column("class").to_numpy()[order].astype(np.int64))
+
+
+def exchange(train: DataFrame, counts: DataFrame, rounds: int = ROUNDS, most: int = FREQUENT) -> tuple[Frequent, np.ndarray]:
+    """Classes of the ``most`` most frequent words, and the class preferences by context.
+
+    ``counts`` has word and n. Only the words exchanged and a contexts x classes matrix
+    come to the driver, whatever the number of words.
+    """
+    top = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()
+    frequent = _frequent(top.append_column("class", pa.array(np.arange(len(top)) % CLASSES)))
+    gain = _gain(np.zeros((CONTEXTS, CLASSES + 1)))
+    for _ in range(rounds):
+        vectors = _vectors(train, frequent, True, "lm-frequent")
+        gain = _gain(_matrix(vectors.mapInArrow(_sum_classes(frequent), "i int, j int, n long"), (CONTEXTS, CLASSES + 1)))
+        frequent = _frequent(vectors.mapInArrow(_moved(gain), "word long, class short").toArrow())
+    return frequent, gain
+
+
+def _classified(train: DataFrame, counts: DataFrame, rounds: int, most: int) -> DataFrame:
+    """word, n and class of every training word."""
+    spark = train.sparkSession
+    frequent, gain = exchange(train, counts, rounds, most)
+    rest = _vectors(train, frequent, False, "lm-vectors").mapInArrow(_moved(gain), "word long, class short")
+    exchanged = spark.createDataFrame(
+        pa.table({"word": frequent.words.view(np.int64), "class": frequent.classes.astype(np.int16)})
+    )
+    kinds = rest.unionByName(exchanged)
+    kind = F.when(F.col("n") > 1, F.col("class")).otherwise(F.lit(CLASSES)).cast("short")
+    return counts.join(kinds, "word").select("word", "n", kind.alias("class"))
+
+
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents by bucket -> distinct words of each bucket (as far as one task holds them)."""
     held: dict[int, list[np.ndarray]] = {}
@@ -301,7 +385,9 @@ def transition_logs(counts: np.ndarray) -> np.ndarray:
     return np.log10((counts + PRIOR * overall) / (counts.sum(axis=1, keepdims=True) + PRIOR))
 
 
-def score_documents(docs: DataFrame, rounds: int = ROUNDS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score_documents(
+    docs: DataFrame, rounds: int = ROUNDS, bucket_bytes: int = BUCKET_BYTES, most: int = FREQUENT
+) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A document is held out, and not learnt from, if crc32 of its doc_id as text is 0
@@ -321,18 +407,11 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, bucket_bytes: int = B
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         (remainder == 0).alias("held_out"),
     )
-    counted = texts.filter("NOT held_out").select("text").mapInArrow(_count, "word long, context byte, n long")
-    vectors = stored(
-        counted.repartition("word")
-        .groupBy("word", "context")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("word")
-        .agg(F.collect_list(F.struct("context", "n")).alias("_v"))
-        .select("word", F.col("_v.context").alias("contexts"), F.col("_v.n").alias("n")),
-        "lm-vectors",
+    train = texts.filter("NOT held_out").select("text")
+    counts = stored(
+        train.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts"
     )
-    gain = exchange(vectors, rounds)
-    dictionary = vectors.mapInArrow(_dictionary(gain), "word long, n long, class short")
+    dictionary = stored(_classified(train, counts, rounds, most), "lm-dictionary")
     sizes = dictionary.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     class_sizes, rare, distinct = np.ones(CLASSES + 1), 0, 0
     for row in sizes:

@@ -118,7 +118,7 @@ def repeated_lines(docs: list[tuple[int, str | None]], least: int = 8) -> dict:
     return out
 
 
-def class_scores(docs: list[tuple[int, list[int]]], held: set, end: int, context, classes: int, contexts: int, rounds: int, prior: float) -> dict:
+def class_scores(docs: list[tuple[int, list[int]]], held: set, end: int, classes: int, rounds: int, prior: float, most: int) -> dict:
     """log10 probabilities of texts, given as word numbers, under the class model, word by word."""
     import math
     from collections import Counter, defaultdict
@@ -126,32 +126,34 @@ def class_scores(docs: list[tuple[int, list[int]]], held: set, end: int, context
     import numpy as np
 
     train = [tokens for d, tokens in docs if d not in held]
-    seen: dict = defaultdict(Counter)
-    for tokens in train:
-        for before, word in zip([end, *tokens], tokens):
-            seen[word][context(before)] += 1
-    vectors = {w: np.array([c[k] for k in range(contexts)], float) for w, c in seen.items()}
-    per, gain = classes // contexts, None
-
-    def class_of(word):
-        v = vectors[word]
-        if v.sum() < 2:
-            return classes
-        if gain is not None:
-            return int(np.argmax(v[None] @ gain))
-        first, second = sorted(range(contexts), key=lambda k: -v[k])[:2]
-        return (first * per + second % per) % classes
+    total_of = Counter(w for tokens in train for w in tokens)
+    signed = lambda w: w - (1 << 64) if w >> 63 else w
+    top = sorted((w for w, n in total_of.items() if n > 1), key=lambda w: (-total_of[w], signed(w)))[:most]
+    moved = {w: k % classes for k, w in enumerate(top)}
+
+    def vectors_now():
+        seen: dict = defaultdict(lambda: np.zeros(2 * (classes + 1)))
+        for tokens in train:
+            for k, word in enumerate(tokens):
+                seen[word][moved.get(tokens[k - 1] if k else end, classes)] += 1
+                if k + 1 < len(tokens):
+                    seen[word][classes + 1 + moved.get(tokens[k + 1], classes)] += 1
+        return seen
 
     for _ in range(rounds):
-        sums = np.zeros((contexts, classes))
-        for word in vectors:
-            if class_of(word) < classes:
-                sums[:, class_of(word)] += vectors[word]
+        seen, sums = vectors_now(), np.zeros((2 * (classes + 1), classes))
+        for word, k in moved.items():
+            sums[:, k] += seen[word]
         gain = np.log((sums + 0.5) / (sums + 0.5).sum(axis=0))
-    kind = {w: class_of(w) for w in vectors}
+        moved = {w: int(np.argmax(seen[w][None] @ gain)) for w in moved}
+    seen = vectors_now()
+    kind = {
+        w: classes if n < 2 else moved[w] if w in moved else int(np.argmax(seen[w][None] @ gain))
+        for w, n in total_of.items()
+    }
     size, rare = Counter(), sum(k == classes for k in kind.values())
     for w, k in kind.items():
-        size[k] += int(vectors[w].sum())
+        size[k] += total_of[w]
     start = kind.get(end, classes)
     moves = Counter()
     for tokens in train:
@@ -168,6 +170,6 @@ def class_scores(docs: list[tuple[int, list[int]]], held: set, end: int, context
         for i, j, w in zip([start, *own], own, tokens):
             overall = (into[j] + 1) / (total + classes + 1)
             score += math.log10((moves[i, j] + prior * overall) / (out[i] + prior))
-            score += math.log10(vectors[w].sum() / size[j]) if j < classes else -math.log10(rare + 1)
+            score += math.log10(total_of[w] / size[j]) if j < classes else -math.log10(rare + 1)
         scores[d] = score
     return scores

@@ -482,18 +482,18 @@ def test_lm_edges(spark, edge_docs, no_docs):
     assert (only_held.n_known, only_held.train_tokens) == (0, 0)
 
 
-def test_class_scores_equal_plain_version(crafted, crafted_docs):
+@pytest.mark.parametrize("most", [30, class_lm.FREQUENT])
+def test_class_scores_equal_plain_version(crafted, crafted_docs, most):
     """The model's own score, from counts to clusters to transitions, against one word at a time."""
     docs = []
     for d, text in crafted:
         (_, _, found), = steps(pa.array([text]), lower=True)
         docs.append((d, [int(t) for t in class_lm.text_tokens(found)[0]]))
     held = {d for d, _ in crafted if zlib.crc32(str(d).encode()) % 10 == 0}
-    context = lambda word: int(mixed(np.array([word], np.uint64))[0]) % class_lm.CONTEXTS
     wanted = brute_llm.class_scores(
-        docs, held, int(class_lm.END), context, class_lm.CLASSES, class_lm.CONTEXTS, class_lm.ROUNDS, class_lm.PRIOR
+        docs, held, int(class_lm.END), class_lm.CLASSES, class_lm.ROUNDS, class_lm.PRIOR, most
     )
-    found = {r.doc_id: r.score for r in class_lm.score_documents(crafted_docs).collect()}
+    found = {r.doc_id: r.score for r in class_lm.score_documents(crafted_docs, most=most).collect()}
     assert found.keys() == wanted.keys() and all(found[d] == pytest.approx(wanted[d]) for d in wanted)
 
 
