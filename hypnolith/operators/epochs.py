@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hypnolith.functions.keys import (
     BLOCK,
@@ -18,6 +23,10 @@ from hypnolith.operators.annotations import stage_annotations, with_first_onset
 from hypnolith.schemas import EPOCH_SEC, EPOCHS, STAGES
 
 _UNKNOWN_CODE = len(STAGES) - 1
+# Code of an epoch that no interval has reached yet.
+_UNCOVERED = 255
+# Epochs of one Arrow batch; those of a block stay together.
+_BATCH_EPOCHS = 1 << 15
 #: Epochs per run, by level.
 RUN_EPOCHS = (1, 64, 4096)
 
@@ -122,7 +131,7 @@ def _runs(first: str, end: str) -> Column:
     """The epochs first .. end - 1 as the longest aligned runs of RUN_EPOCHS that fill them.
 
     However long, a stretch becomes some 300 runs at most: single epochs at its ends,
-    then runs of 64, then of 4,096.
+    then runs of 64, then of 4,096. The build itself paints codes instead.
     """
     a, b, parts = F.col(first), F.col(end), []
     for level in range(len(RUN_EPOCHS) - 1):
@@ -146,10 +155,11 @@ def build_epochs(
     Shuffles stay at annotation size. Each interval covers its own epochs and, as
     UNKNOWN of lowest rank, the ones from there to the next start, so every epoch
     appears. Intervals are cut at block edges and hashed on (rec_id, block) first; the
-    rest happens inside the task: intervals become aligned runs of epochs, the highest
-    rank of each run is kept, and only then runs are spelled out. Many long intervals
-    over the same epochs so cost their number and that of the epochs, not the product. ``partitions`` (the session's shuffle
-    partitions unless given) should be sized for the epochs, not the annotations.
+    rest happens inside the task, one block after the other: its intervals overwrite the
+    codes of their epochs in order of rank, and the block leaves as epochs. A task so
+    sorts intervals and holds a block's codes, a byte each, but groups no epochs.
+    ``partitions`` (the session's shuffle partitions unless given) should be sized for
+    the epochs, not the annotations.
     """
     epochs = epochs_of_pieces(epoch_pieces(annotations, block_epochs), block_epochs, partitions)
     return epochs if keep_block else epochs.drop(BLOCK)
@@ -179,39 +189,83 @@ def epochs_of_pieces(
     pieces: DataFrame, block_epochs: int = EPOCH_BLOCK, partitions: int | None = None
 ) -> DataFrame:
     """The epochs (and their block) that pieces stand for; see :func:`build_epochs`."""
-    order = Window.partitionBy("rec_id", BLOCK).orderBy("onset", "ann_seq")
-    # A piece is its label's stretch and, up to the next start, a stretch of UNKNOWN.
-    after, end = F.col("last_epoch") + 1, F.greatest("first_epoch", F.least("end_epoch", F.col("last_epoch") + 1))
-    stretches = F.array(
-        F.struct(F.col("first_epoch").alias("a"), end.alias("b"), (F.col("rank") * 8 + F.col("code")).alias("ranked")),
-        F.struct(end.alias("a"), after.alias("b"), F.lit(_UNKNOWN_CODE).cast("long").alias("ranked")),
-    )
-    covered = (
+    after = F.col("last_epoch") + 1
+    end = F.greatest("first_epoch", F.least("end_epoch", after))
+    ordered = (
         _hashed_on_blocks(pieces, partitions)
-        .withColumn("rank", F.row_number().over(order).cast("long"))
-        .select("rec_id", BLOCK, F.inline(stretches))
-        .filter("a < b")
-        .select("rec_id", BLOCK, F.explode(_runs("a", "b")).alias("run"), "ranked")
-        .groupBy("rec_id", BLOCK, "run")
-        .agg(F.max("ranked").alias("ranked"))
+        .sortWithinPartitions("rec_id", BLOCK, "onset", "ann_seq", "code")
+        .select("rec_id", BLOCK, "first_epoch", end.alias("end_epoch"), after.alias("after"), "code")
     )
-    length = F.element_at(F.array(*[F.lit(n) for n in RUN_EPOCHS]), (F.col("run") % 4 + 1).cast("int"))
-    start = F.floor(F.col("run") / 4) * length
-    return (
-        covered.withColumn("epoch_idx", F.explode(F.sequence(start, start + length - 1)))
-        .groupBy("rec_id", BLOCK, "epoch_idx")
-        .agg(F.max("ranked").alias("ranked"))
-        .select(
-            "rec_id",
-            "epoch_idx",
-            (F.col("epoch_idx") * EPOCH_SEC).alias("start_sec"),
-            F.lit(EPOCH_SEC).alias("duration_sec"),
-            stage_of_code(F.col("ranked") % 8).alias("stage_label"),
-            as_block(F.col(BLOCK), block_epochs),
-        )
+    schema = T.StructType(
+        [pieces.schema["rec_id"], pieces.schema[BLOCK], *T.StructType.fromDDL("epoch_idx long, code long").fields]
+    )
+    return ordered.mapInArrow(_labelled(block_epochs), schema).select(
+        "rec_id",
+        "epoch_idx",
+        (F.col("epoch_idx") * EPOCH_SEC).alias("start_sec"),
+        F.lit(EPOCH_SEC).alias("duration_sec"),
+        stage_of_code(F.col("code")).alias("stage_label"),
+        as_block(F.col(BLOCK), block_epochs),
     )
 
 
+def _labelled(block_epochs: int):
+    """Pieces in order of (rec_id, block, rank) -> their epochs with the code of their label.
+
+    One block's codes are held at a time, a byte each; epochs leave in order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = np.full(block_epochs, _UNCOVERED, np.uint8)
+        key, low, top = None, block_epochs, 0
+        ids, blocks, places, labels, held = [], [], [], [], 0
+        kinds = None
+
+        def batch() -> pa.RecordBatch:
+            of = pa.array(np.repeat(np.arange(len(ids)), [len(p) for p in places]))
+            columns = [
+                pa.array(ids, kinds[0]).take(of),
+                pa.array(blocks, kinds[1]).take(of),
+                pa.array(np.concatenate(places)),
+                pa.array(np.concatenate(labels).astype(np.int64)),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["rec_id", BLOCK, "epoch_idx", "code"])
+
+        def close() -> int:
+            """Take the open block's epochs over, and return their number."""
+            seen = codes[low:top]
+            covered = np.flatnonzero(seen != _UNCOVERED)
+            ids.append(key[0])
+            blocks.append(key[1])
+            places.append(covered + (key[1] * block_epochs + low))
+            labels.append(seen[covered])
+            seen[:] = _UNCOVERED
+            return len(covered)
+
+        for pieces in batches:
+            kinds = [pieces.schema.field(c).type for c in ("rec_id", BLOCK)]
+            for rec, block, first, end, after, code in zip(*(c.to_pylist() for c in pieces.columns), strict=True):
+                if (rec, block) != key:
+                    if key is not None:
+                        held += close()
+                    if held >= _BATCH_EPOCHS:
+                        yield batch()
+                        ids, blocks, places, labels, held = [], [], [], [], 0
+                    key, low, top = (rec, block), block_epochs, 0
+                base = block * block_epochs
+                first, end, after = first - base, end - base, after - base
+                low, top = min(low, first), max(top, after)
+                codes[first:end] = code
+                if end < after:
+                    rest = codes[end:after]
+                    rest[rest == _UNCOVERED] = _UNKNOWN_CODE
+        if key is not None:
+            close()
+            yield batch()
+
+    return run
+
+
 def default_duration(epochs: DataFrame) -> DataFrame:
     """Epochs with a missing duration set to one epoch length."""
     return epochs.withColumn(

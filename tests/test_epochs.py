@@ -184,3 +184,23 @@ def test_nested_intervals_cost_their_number_and_the_epochs(spark):
     # Interval i covers i .. 2n - i - 1; the last one that touches an epoch labels it.
     wanted = ["N1" if min(e, 2 * n - 1 - e, n - 1) % 2 == 0 else "N2" for e in range(2 * n)]
     assert found == wanted
+
+
+def test_a_task_groups_no_epochs(spark):
+    """Blocks are painted one after the other: neither aggregates nor windows over epochs, one shuffle."""
+    pieces = epochs_module.epoch_pieces(_annotations(spark, _random_recordings(4, 40)), 50).localCheckpoint()
+    built = epochs_module.epochs_of_pieces(pieces, 50, 4)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_blocks_that_cross_arrow_batches(spark):
+    recordings, setting = _random_recordings(6, 40), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "3")
+    try:
+        found = _by_recording(build_epochs(_annotations(spark, recordings), 50))
+    finally:
+        spark.conf.set(setting, before)
+    for rec, rows in recordings.items():
+        assert found.get(rec, []) == brute_epochs(rows), rows
