@@ -31,6 +31,8 @@ from hypnolith.llm.words import ModularSums, Words, mixed, signed, steps
 LEAST_WORDS = 8
 
 _OTHER = np.uint64(0xA0761D6478BD642F)
+# Bytes of text whose lines, or variants of lines, are worked out at a time.
+_STEP_BYTES = 1 << 18
 
 
 class _Lines:
@@ -68,7 +70,7 @@ def _describe(least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
-            for row, end, words in steps(batch.column("text")):
+            for row, end, words in steps(batch.column("text"), step_bytes=_STEP_BYTES):
                 lines = _Lines(words)
                 if not len(lines.first):
                     continue
@@ -107,7 +109,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
         chosen = batch.column("lines")
-        for row, end, words in steps(batch.column("text")):
+        for row, end, words in steps(batch.column("text"), step_bytes=_STEP_BYTES):
             lines = _Lines(words)
             part = chosen.slice(row, end - row)
             of = np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy())).astype(np.int64)

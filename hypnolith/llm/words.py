@@ -253,16 +253,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def steps(
-    column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE
+    column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE, step_bytes: int = STEP_BYTES
 ) -> Iterator[tuple[int, int, Words]]:
-    """(first row, end row, words) of pieces of a column with some STEP_BYTES each.
+    """(first row, end row, words) of pieces of a column with some ``step_bytes`` each.
 
     A longer text makes a piece of its own. ``lower`` turns A-Z into a-z.
     """
     data, bounds = text_bytes(column)
     row, rows = 0, len(bounds) - 1
     while row < rows:
-        end = int(np.searchsorted(bounds, bounds[row] + STEP_BYTES, "right")) - 1
+        end = int(np.searchsorted(bounds, bounds[row] + step_bytes, "right")) - 1
         end = min(rows, max(row + 1, end))
         piece = data[bounds[row] : bounds[end]]
         if lower:

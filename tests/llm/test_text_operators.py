@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -580,3 +581,21 @@ def test_token_file_edges(edge_docs, no_docs):
 
 def test_missing_ids_come_last():
     assert LAST_ID == 2**63 - 1 and Counter([LAST_ID])[LAST_ID] == 1
+
+
+def test_line_dedup_memory_does_not_grow_with_the_batch():
+    """One text after the other: 4 MB of texts take what a few of them take."""
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(12)) for _ in range(30)) for _ in range(2000)]
+    ids = pa.array(range(len(texts)))
+    lines = pa.array([list(range(30))] * len(texts), pa.list_(pa.int32()))
+    for task, extra in ((line_dedup._describe(8), {}), (line_dedup._variants, {"lines": lines})):
+        batch = pa.RecordBatch.from_pydict({"doc_id": ids, "row": ids, "text": pa.array(texts)} | extra)
+        tracemalloc.start()
+        try:
+            rows = sum(b.num_rows for b in task(iter([batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert rows == len(texts) * 30 * (13 if extra else 1)
+        assert peak < 40 << 20
